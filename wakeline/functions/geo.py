@@ -1,0 +1,18 @@
+"""Interpolation and bearings."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def lerp(start: Column, end: Column, fraction: Column) -> Column:
+    return start + (end - start) * fraction
+
+
+def initial_bearing_deg(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Great-circle course from the first point to the second, 0 to 360."""
+    here, there, turn = F.radians(lat1), F.radians(lat2), F.radians(lon2 - lon1)
+    east = F.sin(turn) * F.cos(there)
+    north = F.cos(here) * F.sin(there) - F.sin(here) * F.cos(there) * F.cos(turn)
+    return F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0))
