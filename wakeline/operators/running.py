@@ -88,7 +88,7 @@ def running(
     totals = df.groupBy(*keys, bucket.alias("_bucket")).agg(
         *[_FOLD[kind](expr).alias(name) for name, (kind, expr) in values.items()]
     )
-    carry = _carries(totals, keys, kinds, levels=2).select(
+    carry = _carries(totals, keys, kinds, levels=1).select(
         *keys, "_bucket", *[F.col(name).alias(f"_carry_{name}") for name in values]
     )
     window = (

@@ -6,109 +6,133 @@ disorder, copies and defects that depend on the event number alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.operators.running import running
 from wakeline.schema import ARRIVAL
+from wakeline.sources.wire import iso_payload
 
 # Fixed values of the feed.
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 START_S = 1_704_067_200  # 2024-01-01 00:00:00 UTC
 PARTITIONS = 12
 AIRCRAFT = 50
-# Event number modulo 100 -> seconds the event time is moved back.
-SHIFT_S = {
-    7: 3, 24: 3, 27: 3,
-    13: 12, 53: 12, 73: 12,
-    93: 6, 33: 21, 83: 22, 47: 60, 23: -4,
+
+# Arrivals of one event: itself, a close copy, and a copy after the dedup memory.
+COPIES = """
+inline(array_compact(array(
+  struct(0 AS copy, 10 * event_id AS arrival_seq, event_id AS tsec),
+  CASE WHEN event_id % 20 = 11 THEN
+    struct(1 AS copy,
+           10 * event_id + 35 + IF(event_id % 100 = 51, 270, 0) AS arrival_seq,
+           event_id AS tsec) END,
+  CASE WHEN event_id % 1000 = 91 AND event_id + 3700 < newest THEN
+    struct(2 AS copy, 10 * event_id + 37001 AS arrival_seq, event_id + 3700 AS tsec) END
+)))
+"""
+
+# Seconds an event time is moved back, by event number modulo 100.
+SHIFT = """
+CASE WHEN copy > 0 THEN 0
+     WHEN k IN (7, 24, 27) THEN 3
+     WHEN k IN (13, 53, 73) THEN 12
+     WHEN k = 93 THEN 6
+     WHEN k = 33 THEN 21
+     WHEN k = 83 THEN 22
+     WHEN k = 47 THEN 60
+     WHEN k = 23 THEN -4
+     ELSE 0 END
+"""
+
+COLUMNS = {
+    "event_id": "CASE WHEN k IN (17, 43) THEN '' WHEN k = 37 THEN '   ' ELSE 'E-' || n END",
+    "aircraft_id": "CASE WHEN k <> 57 THEN aircraft END",
+    "flight_id": "CASE WHEN k <> 77 THEN aircraft || '-' || event_type END",
+    "event_time": f"CASE WHEN k <> 97 THEN timestamp_seconds({START_S} + tsec - shift) END",
+    "latitude": "31.2D",
+    "longitude": "121.5D",
+    "altitude_ft": "CAST(1000 * (n % 36) AS DOUBLE)",
+    "ground_speed_kts": "CAST(150 + n % 310 AS DOUBLE)",
+    "vertical_speed_fpm": "0D",
+    "heading_deg": "180D",
+    "engine_temp_c": "CASE WHEN k NOT IN (3, 23, 43) THEN 600 + 2 * value END",
+    "oil_pressure_psi": "58D",
+    "fuel_flow_kg_h": "CAST(600 + 10 * (n % 300) AS DOUBLE)",
+    "fuel_remaining_kg": "CAST(16800 - n % 4540 AS DOUBLE)",
+    "outside_air_temp_c": "-54.3D",
+    "kafka_partition": f"CAST(user_id % {PARTITIONS} AS INT)",
+    "kafka_offset": "CAST(NULL AS BIGINT)",
+    "kafka_timestamp": f"timestamp_millis({START_S}000 + 100 * arrival_seq)",
+    "proc_time": f"timestamp_millis({START_S}000 + 100 * arrival_seq)",
 }
+assert list(COLUMNS) == ARRIVAL.fieldNames()
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _shift(k: Column) -> Column:
-    shift = F.lit(0)
-    for back in sorted(set(SHIFT_S.values())):
-        cases = [case for case, value in SHIFT_S.items() if value == back]
-        shift = F.when(k.isin(cases), F.lit(back)).otherwise(shift)
-    return shift
-
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals with ``arrival_seq`` as their unique order.
 
-def _copies(n: Column, k: Column, newest: Column) -> Column:
-    """Arrivals of one event: itself, a close copy, a copy after the memory."""
-    def copy(number: int, seq: Column, at: Column) -> Column:
-        return F.struct(
-            F.lit(number).alias("copy"), seq.alias("arrival_seq"), at.alias("tsec")
+    ``n`` and ``copy`` tell which event and which of its arrivals a row is.
+    ``kafka_offset`` is left NULL; :func:`with_offsets` fills it where wanted.
+    """
+    events = read_events(spark, sf_dir)
+    newest = events.agg(F.max("event_id")).scalar()
+    return (
+        events.withColumn("newest", newest)
+        .selectExpr(
+            "event_id AS n",
+            "event_id % 100 AS k",
+            "user_id",
+            f"'AC-' || user_id % {AIRCRAFT} AS aircraft",
+            "event_type",
+            "value",
+            COPIES,
         )
-
-    close = copy(1, n * 10 + 35 + F.when(k == 51, 270).otherwise(0), n)
-    distant = copy(2, n * 10 + 37001, n + 3700)
-    return F.array_compact(
-        F.array(
-            copy(0, n * 10, n),
-            F.when(n % 20 == 11, close),
-            F.when((n % 1000 == 91) & (n + 3700 < newest), distant),
+        .selectExpr("*", f"{SHIFT} AS shift")
+        .selectExpr(
+            "arrival_seq", "copy", "n", *[f"{sql} AS {name}" for name, sql in COLUMNS.items()]
         )
     )
 
 
-def feed(spark: SparkSession, sf_dir: str, offsets: bool = False) -> DataFrame:
-    """Arrivals with ``arrival_seq`` as their unique order.
+def with_offsets(rows: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """Fill ``kafka_offset`` of ``rows``: arrivals before it on its partition.
 
-    ``kafka_offset`` counts the rows of a partition in arrival order; it costs a
-    shuffle, so it is only filled when asked for.
+    Kept apart from the feed so that only queries showing offsets number them.
     """
-    events = read_events(spark, sf_dir)
-    newest = events.agg(F.max("event_id")).scalar()
-    n = F.col("event_id")
-    k = n % 100
-    arrivals = events.select(
-        n.alias("n"),
-        k.alias("k"),
-        "user_id",
-        "event_type",
-        "value",
-        F.inline(_copies(n, k, newest)),
-    )
+    numbered = running(
+        arrivals.select("arrival_seq", "kafka_partition"),
+        "arrival_seq",
+        {"_seen": ("sum", F.lit(1))},
+        keys=["kafka_partition"],
+    ).select("arrival_seq", (F.col("_seen") - 1).alias("kafka_offset"))
+    return rows.drop("kafka_offset").join(numbered, "arrival_seq")
 
-    n, k = F.col("n"), F.col("k")
-    aircraft = F.concat(F.lit("AC-"), (F.col("user_id") % AIRCRAFT).cast("string"))
-    shift = F.when(F.col("copy") > 0, 0).otherwise(_shift(k))
-    arrived = F.timestamp_millis(F.lit(START_S * 1000) + F.col("arrival_seq") * 100)
-    columns = {
-        "event_id": F.when(k.isin(17, 43), "")
-        .when(k == 37, "   ")
-        .otherwise(F.concat(F.lit("E-"), n.cast("string"))),
-        "aircraft_id": F.when(k != 57, aircraft),
-        "flight_id": F.when(k != 77, F.concat_ws("-", aircraft, "event_type")),
-        "event_time": F.when(
-            k != 97, F.timestamp_seconds(F.lit(START_S) + F.col("tsec") - shift)
-        ),
-        "latitude": F.lit(31.2),
-        "longitude": F.lit(121.5),
-        "altitude_ft": (n % 36 * 1000).cast("double"),
-        "ground_speed_kts": (n % 310 + 150).cast("double"),
-        "vertical_speed_fpm": F.lit(0.0),
-        "heading_deg": F.lit(180.0),
-        "engine_temp_c": F.when(~k.isin(3, 23, 43), F.col("value") * 2 + 600),
-        "oil_pressure_psi": F.lit(58.0),
-        "fuel_flow_kg_h": (n % 300 * 10 + 600).cast("double"),
-        "fuel_remaining_kg": (F.lit(16800) - n % 4540).cast("double"),
-        "outside_air_temp_c": F.lit(-54.3),
-        "kafka_partition": (F.col("user_id") % PARTITIONS).cast("int"),
-        "kafka_offset": F.lit(None).cast("long"),
-        "kafka_timestamp": arrived,
-        "proc_time": arrived,
-    }
-    assert list(columns) == ARRIVAL.fieldNames()
-    rows = arrivals.select(
-        "arrival_seq", "copy", "n", *[value.alias(name) for name, value in columns.items()]
+
+def wire_feed(arrivals: DataFrame) -> DataFrame:
+    """The feed as raw JSON text with broken messages among it.
+
+    By event number modulo 100: 31 is cut short, 71 is an array, 63 carries
+    text in a number field.
+    """
+    k = F.col("n") % 100
+    text = iso_payload()
+    raw = (
+        F.when(k == 31, F.expr("left(raw, length(raw) - 1)"))
+        .when(k == 71, F.concat(F.lit("["), "raw", F.lit("]")))
+        .when(k == 63, F.regexp_replace("raw", '"engine_temp_c":[^,]*', '"engine_temp_c":"hot"'))
+        .otherwise(F.col("raw"))
     )
-    if offsets:
-        rows = running(
-            rows, "arrival_seq", {"_seen": ("sum", F.lit(1))}, keys=["kafka_partition"]
-        )
-        rows = rows.withColumn("kafka_offset", F.col("_seen") - 1).drop("_seen")
-    return rows
+    return arrivals.select(
+        "arrival_seq",
+        "n",
+        "kafka_partition",
+        "kafka_offset",
+        "kafka_timestamp",
+        "proc_time",
+        text.alias("raw"),
+    ).withColumn("raw", raw)
