@@ -11,22 +11,30 @@ from wakeline.schema import EVENT
 PAYLOAD = EVENT.fieldNames()
 
 
-def decode(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Replace ``raw`` by the payload columns.
+def parse(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Replace ``raw`` by the payload columns and ``is_object``.
 
-    Text that is no JSON object is skipped. In an object a missing field, or one
-    of the wrong type, becomes NULL; the rules reject such a row by reason.
+    In a JSON object a missing field, or one of the wrong type, becomes NULL.
     """
     others = [name for name in df.columns if name != raw]
     event = F.from_json(raw, EVENT, {"mode": "PERMISSIVE"})
     return (
-        df.where(F.json_object_keys(raw).isNotNull())
-        .select(*others, event.alias("_event"))
-        .select(*others, "_event.*")
+        df.select(
+            *others, event.alias("_event"), F.json_object_keys(raw).isNotNull().alias("is_object")
+        )
+        .select(*others, "_event.*", "is_object")
         .withColumn("event_time", F.date_trunc("millisecond", "event_time"))
     )
 
 
+def decode(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Payload columns of the messages; text that is no JSON object is skipped.
+
+    Rows with missing fields stay: the rules reject them by reason.
+    """
+    return parse(df.where(F.json_object_keys(raw).isNotNull()), raw).drop("is_object")
+
+
 def iso_payload() -> Column:
     """Payload columns as one JSON text; NULL fields are written out."""
     fields = [
