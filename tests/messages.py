@@ -1,6 +1,7 @@
 """Building messages for tests."""
 
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 # Minute boundary the scripted timelines count from.
@@ -62,7 +63,11 @@ class Topic:
                     }
                 )
             )
-        (self.folder / f"{self.files:06d}.json").write_text("\n".join(lines) + "\n")
+        file = self.folder / f"{self.files:06d}.json"
+        file.write_text("\n".join(lines) + "\n")
+        # File streams read in order of change times; keep them apart.
+        changed = W.timestamp() + self.files
+        os.utime(file, (changed, changed))
         self.files += 1
 
 

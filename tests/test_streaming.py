@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.messages import Clock, Topic, W, at, message, ms
+from wakeline.schema import TOPIC_RECORD
 from wakeline.settings import Rules
-from wakeline.sources.readers import jsonl_stream, open_stream, recorded_stream
+from wakeline.sources.readers import jsonl_stream, open_stream, positioned, recorded_stream
 from wakeline.streaming import tables
 from wakeline.streaming.job import QualityJob
 
@@ -26,7 +27,11 @@ def drain(job, stream):
 
 
 class Run:
-    def __init__(self, spark, tmp_path, rules=Rules()):
+    """A job over a recorded topic. Batches go through a streaming query, or
+    straight into the job where the test is about the batch alone."""
+
+    def __init__(self, spark, tmp_path, rules=Rules(), streamed=True):
+        self.streamed = streamed
         self.spark = spark
         self.topic = Topic(tmp_path / "topic")
         self.root = str(tmp_path / "job")
@@ -37,7 +42,13 @@ class Run:
     def batch(self, *messages, seconds=15, partition=0):
         self.topic.send(*messages, partition=partition)
         self.clock.forward(seconds)
-        drain(self.job, recorded_stream(self.spark, str(self.topic.folder)))
+        if self.streamed:
+            drain(self.job, recorded_stream(self.spark, str(self.topic.folder)))
+        else:
+            batch_id = self.topic.files - 1
+            file = str(self.topic.folder / f"{batch_id:06d}.json")
+            records = self.spark.read.schema(TOPIC_RECORD).json(file)
+            self.job.process(positioned(records), batch_id)
 
     def table(self, name):
         return tables.read_table(self.spark, self.root, name)
@@ -66,6 +77,11 @@ def run(spark, tmp_path):
     return Run(spark, tmp_path)
 
 
+@pytest.fixture
+def batches(spark, tmp_path):
+    return Run(spark, tmp_path, streamed=False)
+
+
 def test_timeline(run):
     """On-time, out-of-order, late, closing, post-close and too-late rows."""
     run.batch(
@@ -97,22 +113,22 @@ def test_timeline(run):
     assert minute.avg_altitude_ft == pytest.approx((35000 * 4 + 34000) / 5)
 
 
-def test_limits_are_strict(run):
-    run.batch(reading("A", 100))
+def test_limits_are_strict(batches):
+    batches.batch(reading("A", 100))
     # Watermark is 95: at it not late, 15 s behind late, one millisecond more too late.
-    run.batch(reading("AT", 95), reading("BEHIND", 94.999), reading("EDGE", 80), reading("OVER", 79.999))
-    assert run.detail() == [("A", False), ("AT", False), ("BEHIND", True), ("EDGE", True)]
-    assert run.rejected() == [("OVER", "too_late")]
+    batches.batch(reading("AT", 95), reading("BEHIND", 94.999), reading("EDGE", 80), reading("OVER", 79.999))
+    assert batches.detail() == [("A", False), ("AT", False), ("BEHIND", True), ("EDGE", True)]
+    assert batches.rejected() == [("OVER", "too_late")]
 
 
-def test_rejected_rows_move_the_watermark(run):
-    run.batch(reading("BAD", 90, engine_temp_c=None))
-    run.batch(reading("GOOD", 80))
-    assert run.detail() == [("GOOD", True)]
+def test_rejected_rows_move_the_watermark(batches):
+    batches.batch(reading("BAD", 90, engine_temp_c=None))
+    batches.batch(reading("GOOD", 80))
+    assert batches.detail() == [("GOOD", True)]
 
 
-def test_broken_messages(run):
-    run.batch(
+def test_broken_messages(batches):
+    batches.batch(
         "not json",
         "[1]",
         '{"event_id": "cut"',
@@ -120,12 +136,12 @@ def test_broken_messages(run):
         reading("TEXT", 5, engine_temp_c="hot"),
         reading("OK", 6),
     )
-    assert [row[0] for row in run.detail()] == ["OK"]
-    assert run.rejected() == [
+    assert [row[0] for row in batches.detail()] == ["OK"]
+    assert batches.rejected() == [
         ("TEXT", "missing_engine_temp"),
         ("few", "missing_aircraft_id,missing_flight_id,missing_engine_temp"),
     ]
-    commit = run.job.commit_of(0)
+    commit = batches.job.commit_of(0)
     assert (commit.ingested, commit.parse_failed, commit.written) == (6, 3, 1)
 
 
@@ -140,15 +156,15 @@ def test_restart_keeps_memory_and_open_minute(spark, run):
     assert run.minutes() == [(0, 2, 0)]
 
 
-def test_memory_ends_after_an_hour(run):
-    run.batch(reading("A", 0))
-    run.batch(reading("A", 1), seconds=1800)
-    run.batch(reading("A", 2), seconds=1799.999)
-    assert run.rejected() == [("A", "duplicate")] * 2
-    run.batch(reading("A", 3), seconds=0.001)
-    assert [row[0] for row in run.detail()] == ["A", "A"]
-    run.batch(reading("A", 4), seconds=3599)
-    assert len(run.rejected()) == 3
+def test_memory_ends_after_an_hour(batches):
+    batches.batch(reading("A", 0))
+    batches.batch(reading("A", 1), seconds=1800)
+    batches.batch(reading("A", 2), seconds=1799.999)
+    assert batches.rejected() == [("A", "duplicate")] * 2
+    batches.batch(reading("A", 3), seconds=0.001)
+    assert [row[0] for row in batches.detail()] == ["A", "A"]
+    batches.batch(reading("A", 4), seconds=3599)
+    assert len(batches.rejected()) == 3
 
 
 @pytest.mark.parametrize("broken", ["rejected", "minutes", "state/open_minutes", "commits"])
@@ -176,33 +192,33 @@ def test_failed_batch_repeats_itself(spark, tmp_path, broken):
     assert run.minutes() == [(0, 3, 0)]
 
 
-def test_committed_batch_is_not_repeated(spark, run):
-    run.batch(reading("A", 10))
+def test_committed_batch_is_not_repeated(spark, batches):
+    batches.batch(reading("A", 10))
     other = spark.createDataFrame([("{}", 0, 0, None)], "raw string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp")
-    run.job.process(other, 0)
-    assert run.rejected() == []
+    batches.job.process(other, 0)
+    assert batches.rejected() == []
     with pytest.raises(RuntimeError, match="never committed"):
-        run.job.process(other, 5)
+        batches.job.process(other, 5)
 
 
-def test_slow_idle_and_returning_partitions(run):
+def test_slow_idle_and_returning_partitions(batches):
     def reached():
-        batch = tables.last_commit(run.spark, run.root)
-        return (run.job.commit_of(batch).watermark_ms - ms(W)) / 1000
+        batch = tables.last_commit(batches.spark, batches.root)
+        return (batches.job.commit_of(batch).watermark_ms - ms(W)) / 1000
 
-    run.batch(reading("P0", 100), seconds=1)
+    batches.batch(reading("P0", 100), seconds=1)
     assert reached() == 95
-    run.batch(reading("P1", 40), seconds=1, partition=1)
+    batches.batch(reading("P1", 40), seconds=1, partition=1)
     assert reached() == 95, "a slow partition does not pull the watermark back"
-    run.batch(reading("P0b", 200), seconds=5)
+    batches.batch(reading("P0b", 200), seconds=5)
     assert reached() == 95, "a slow partition holds the watermark"
-    run.batch(reading("P0c", 210), seconds=5)
+    batches.batch(reading("P0c", 210), seconds=5)
     assert reached() == 205, "after ten seconds the slow partition is idle"
-    run.batch(reading("P1b", 50), seconds=1, partition=1)
+    batches.batch(reading("P1b", 50), seconds=1, partition=1)
     assert reached() == 205, "a returning partition does not pull it back"
-    run.batch(reading("P0d", 300), seconds=1)
+    batches.batch(reading("P0d", 300), seconds=1)
     assert reached() == 205, "a returning partition holds it again"
-    assert ("P1b", "too_late") in run.rejected()
+    assert ("P1b", "too_late") in batches.rejected()
 
 
 def test_second_query_is_refused(spark, run):
@@ -240,20 +256,20 @@ def test_source_choice(spark, tmp_path):
     assert open_stream(spark, path=str(tmp_path / "in")).columns == ["raw"]
 
 
-def test_merge_and_expire(spark, run):
-    run.batch(reading("A", 1), reading("B", 2))
-    run.batch(reading("C", 70), message("D", "AC-9", FL, at(71)), message("E", "", FL, at(72)))
-    whole = {name: sorted(map(str, run.table(name).collect())) for name in tables.TABLES}
+def test_merge_and_expire(spark, batches):
+    batches.batch(reading("A", 1), reading("B", 2))
+    batches.batch(reading("C", 70), message("D", "AC-9", FL, at(71)), message("E", "", FL, at(72)))
+    whole = {name: sorted(map(str, batches.table(name).collect())) for name in tables.TABLES}
     for name in tables.TABLES:
-        assert tables.merge_files(spark, run.root, name, 1000) == 0
-        assert sorted(map(str, run.table(name).collect())) == whole[name]
-    run.batch(reading("F", 75))
-    assert run.table("detail").count() == 5
-    assert tables.merge_files(spark, run.root, "detail", 2000) == 1
-    assert tables.expire(spark, run.root, "detail", 2000) == 0
-    assert tables.expire(spark, run.root, "detail", 2001) == 5
-    assert run.table("detail").count() == 5
-    assert tables.expire_state(spark, run.root) > 0
-    run.batch(reading("A", 80), reading("G", 81))
-    assert ("A", "duplicate") in run.rejected()
-    assert run.table("detail").count() == 6
+        assert tables.merge_files(spark, batches.root, name, 1000) == 0
+        assert sorted(map(str, batches.table(name).collect())) == whole[name]
+    batches.batch(reading("F", 75))
+    assert batches.table("detail").count() == 5
+    assert tables.merge_files(spark, batches.root, "detail", 2000) == 1
+    assert tables.expire(spark, batches.root, "detail", 2000) == 0
+    assert tables.expire(spark, batches.root, "detail", 2001) == 5
+    assert batches.table("detail").count() == 5
+    assert tables.expire_state(spark, batches.root) > 0
+    batches.batch(reading("A", 80), reading("G", 81))
+    assert ("A", "duplicate") in batches.rejected()
+    assert batches.table("detail").count() == 6

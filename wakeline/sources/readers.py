@@ -15,7 +15,8 @@ from wakeline.schema import TOPIC_RECORD
 from wakeline.sources.wire import publish_records
 
 
-def _positioned(records: DataFrame) -> DataFrame:
+def positioned(records: DataFrame) -> DataFrame:
+    """Raw text and position of Kafka records."""
     return records.select(
         F.col("value").cast("string").alias("raw"),
         F.col("partition").cast("int").alias("kafka_partition"),
@@ -41,12 +42,12 @@ def kafka_stream(
     )
     if max_per_batch:
         reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
-    return _positioned(reader.load())
+    return positioned(reader.load())
 
 
 def recorded_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
     """A topic recorded as JSON files with key, value, partition, offset, timestamp."""
-    return _positioned(
+    return positioned(
         spark.readStream.schema(TOPIC_RECORD)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(path)

@@ -15,6 +15,7 @@ Layout below the job's folder::
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
@@ -91,11 +92,14 @@ class QualityJob:
         paths = [self._path(table, batch_id) for batch_id in batch_ids]
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def _one_row(self) -> DataFrame:
+        return self.spark.range(0, 1, 1, 1)
+
     def _begin(self, batch_id: int) -> int:
         """The batch's time; a repeated batch keeps the time of its first try."""
         if not storage.complete(self.spark, self._path("begun", batch_id)):
-            row = self.spark.createDataFrame([(self.clock(),)], BEGUN)
-            self._write(row.coalesce(1), "begun", batch_id)
+            row = self._one_row().select(F.lit(self.clock()).cast("long").alias("at_ms"))
+            self._write(row, "begun", batch_id)
         return self._read("begun", BEGUN, batch_id).first()["at_ms"]
 
     def commit_of(self, batch_id: int):
@@ -135,13 +139,16 @@ class QualityJob:
 
         commit = {
             "watermark_ms": reached,
-            "recent": [*remembered, (batch_id, at)],
+            "recent": [
+                {"batch_id": past, "at_ms": moment}
+                for past, moment in [*remembered, (batch_id, at)]
+            ],
             "ingested": ingested,
             "parse_failed": ingested - counters["decoded"],
             **counters,
         }
-        row = self.spark.createDataFrame([commit], COMMIT)
-        self._write(row.coalesce(1), "commits", batch_id)
+        row = self._one_row().select(F.from_json(F.lit(json.dumps(commit)), COMMIT).alias("c"))
+        self._write(row.select("c.*"), "commits", batch_id)
 
     def _tagged(self, messages: DataFrame, at: int, watermark: int | None) -> DataFrame:
         if "kafka_offset" not in messages.columns:

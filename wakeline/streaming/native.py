@@ -16,7 +16,8 @@ def minute_agg_stream(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Closed minutes of valid rows, for append mode.
 
     One watermark for the whole stream; copies are not removed and late rows not
-    counted apart. Invalid rows take part in the grouping without being counted:
+    counted apart. A minute is emitted, and takes rows, until the batch after the
+    one that moved the watermark past its end. Invalid rows take part in the grouping without being counted:
     a filter in front would be pushed below the watermark and hide their time.
     """
     valid = R.reject_reason(F.lit(None).cast("timestamp"), rules).isNull()

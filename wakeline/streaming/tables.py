@@ -84,8 +84,10 @@ def merge_files(spark: SparkSession, root: str, table: str, now_ms: int) -> int:
         .option("compression", "zstd")
         .parquet(f"{base}/rows/generation={number}")
     )
-    pointer = spark.createDataFrame([(last, now_ms)], GENERATION)
-    pointer.coalesce(1).write.mode("overwrite").parquet(f"{base}/pointers/generation={number}")
+    pointer = spark.range(0, 1, 1, 1).select(
+        F.lit(last).cast("long").alias("up_to"), F.lit(now_ms).cast("long").alias("made_ms")
+    )
+    pointer.write.mode("overwrite").parquet(f"{base}/pointers/generation={number}")
     return number
 
 
