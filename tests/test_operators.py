@@ -16,6 +16,7 @@ from wakeline.operators.reconcile import lost_ids, reconcile_ids
 from wakeline.operators.running import running
 from wakeline.plans import synth
 from wakeline.settings import Rules
+from wakeline.sources.arrival import with_arrival_order
 
 
 @pytest.mark.parametrize("width", [1, 7, 64, 1 << 20])
@@ -249,3 +250,15 @@ def test_anomalies(spark):
         assert (1050 <= row.engine_temp_c <= 1200 and row.fuel_flow_kg_h == 3600) if hot else row.engine_temp_c == 600
     assert kinds["duplicate"] / n == pytest.approx(0.2, abs=0.03)
     assert kinds["late"] / n == pytest.approx(0.15, abs=0.03)
+
+
+def test_arrival_order(spark):
+    rng = random.Random(5)
+    rows = [(t, p, o) for t in range(3) for p in range(4) for o in range(t * 9, t * 9 + 9)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "t long, kafka_partition int, kafka_offset long").withColumn(
+        "proc_time", F.timestamp_seconds("t")
+    )
+    numbered = with_arrival_order(df.repartition(5)).orderBy("arrival_seq").collect()
+    assert [(r.t, r.kafka_partition, r.kafka_offset) for r in numbered] == sorted(rows)
+    assert len({r.arrival_seq for r in numbered}) == len(rows)

@@ -11,7 +11,8 @@ from wakeline.functions import rules as R
 from wakeline.operators import reconcile, reports
 from wakeline.plans import catalog_tables, synth
 from wakeline.plans.replay import Replay
-from wakeline.sources.readers import recorded_stream
+from wakeline.sources.arrival import replay_feed
+from wakeline.sources.readers import recorded_stream, recorded_table
 from wakeline.sources.wire import decode, publish_records
 from wakeline.streaming.job import QualityJob
 from wakeline.streaming.native import minute_agg_stream
@@ -121,6 +122,16 @@ def test_row_by_row_stream_equals_replay(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
+def test_recorded_topic_replayed(spark, tmp_path):
+    topic = Topic(tmp_path / "topic")
+    topic.send(*timeline(), "no json")
+    replay = Replay(replay_feed(recorded_table(spark, str(topic.folder))))
+    assert sorted((r.event_id, r.reason) for r in replay.rejected.collect()) == [
+        ("A", "duplicate"), ("B", "duplicate"), ("H", "too_late"),
+    ]
+    assert replay.detail.count() == 9
+
+
 def test_bulk_mix_replayed(spark):
     count = 2000
     sizes = synth.mix_for(count)

@@ -221,6 +221,26 @@ def test_slow_idle_and_returning_partitions(batches):
     assert ("P1b", "too_late") in batches.rejected()
 
 
+def test_failures_are_retried_from_the_last_commit(spark, run):
+    failures = iter([True, False, True, False])
+
+    class Flaky(QualityJob):
+        def _write(self, rows, table, batch_id):
+            if table == "detail" and next(failures, False):
+                raise OSError("lost")
+            super()._write(rows, table, batch_id)
+
+    run.topic.send(reading("A", 10), reading("B", 20))
+    run.topic.send(reading("A", 10), reading("C", 80))
+    job = Flaky(spark, run.root, run.rules, run.clock)
+    opened = lambda: recorded_stream(spark, str(run.topic.folder))
+    job.run(opened, attempts=2, delay_s=0, available_now=True)
+    assert [row[0] for row in run.detail()] == ["A", "B", "C"]
+    assert run.rejected() == [("A", "duplicate")]
+    counters = tables.read_commits(spark, run.root).selectExpr("sum(ingested)", "sum(written)")
+    assert tuple(counters.first()) == (4, 3)
+
+
 def test_second_query_is_refused(spark, run):
     run.topic.send(reading("A", 1))
     stream = recorded_stream(spark, str(run.topic.folder))

@@ -37,20 +37,31 @@ def too_late(watermark: Column, rules: Rules = Rules()) -> Column:
     )
 
 
-def reject_reason(watermark: Column, rules: Rules = Rules()) -> Column:
-    """All defects of a row joined with commas, NULL for a row without defect."""
+def field_defects() -> Column:
+    """Defects a row shows by itself, joined with commas; NULL for none."""
     defects = (
         (blank("event_id"), BLANK_EVENT_ID),
         (blank("aircraft_id"), MISSING_AIRCRAFT),
         (blank("flight_id"), MISSING_FLIGHT),
         (F.col("event_time").isNull(), MISSING_TIME),
         (F.col("engine_temp_c").isNull(), MISSING_TEMP),
-        (too_late(watermark, rules), TOO_LATE),
     )
     named = [F.when(test, F.lit(reason)) for test, reason in defects]
     return F.nullif(F.concat_ws(",", *named), F.lit(""))
 
 
+def reject_reason(
+    watermark: Column, rules: Rules = Rules(), defects: Column | None = None
+) -> Column:
+    """All defects of a row, lateness last; NULL for a row without any.
+
+    ``defects`` takes the place of :func:`field_defects` where that is already known.
+    """
+    own = field_defects() if defects is None else defects
+    behind = F.when(too_late(watermark, rules), F.lit(TOO_LATE))
+    return F.nullif(F.concat_ws(",", own, behind), F.lit(""))
+
+
 def lateness_class(watermark: Column, rules: Rules = Rules()) -> Column:
     """on_time, out_of_order, late or too_late.
 
@@ -66,12 +77,14 @@ def lateness_class(watermark: Column, rules: Rules = Rules()) -> Column:
     )
 
 
-def tag(df: DataFrame, watermark: Column, rules: Rules = Rules()) -> DataFrame:
+def tag(
+    df: DataFrame, watermark: Column, rules: Rules = Rules(), defects: Column | None = None
+) -> DataFrame:
     """Add ``overheat``, ``late`` and ``reject_reason``; no row is dropped."""
     return df.withColumns(
         {
             "overheat": overheat(rules),
             "late": late(watermark),
-            "reject_reason": reject_reason(watermark, rules),
+            "reject_reason": reject_reason(watermark, rules, defects),
         }
     )

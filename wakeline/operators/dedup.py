@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.settings import Rules, seconds, staged
+from wakeline.settings import Rules, seconds
+from wakeline.sources.staging import staged
 
 # Ids with more copies than this are resolved round by round instead of in one array.
 FOLD_ROWS = 4096

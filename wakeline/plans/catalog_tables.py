@@ -10,7 +10,7 @@ from wakeline.operators.eventtime import final_watermark
 from wakeline.operators.minutes import counted, minute_aggregate
 from wakeline.plans.replay import Replay, clean_records, detail_columns, rejected_columns
 from wakeline.schema import DETAIL, MINUTE, REJECTED
-from wakeline.settings import staged
+from wakeline.sources.staging import staged
 
 # Table name -> layout. All are partitioned by aircraft.
 TABLES = {

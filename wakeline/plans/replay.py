@@ -49,8 +49,12 @@ class Replay:
 
     @cached_property
     def tagged(self) -> DataFrame:
-        seen = with_watermark_column(self.feed, self.order, self.rules)
-        return R.tag(seen, F.col("watermark"), self.rules)
+        # Defects are told before the rows are ordered: what only needs to know
+        # whether a row is clean then shuffles one column for them.
+        told = self.feed.withColumn("_defects", R.field_defects())
+        seen = with_watermark_column(told, self.order, self.rules)
+        tagged = R.tag(seen, F.col("watermark"), self.rules, F.col("_defects"))
+        return tagged.drop("_defects")
 
     @cached_property
     def clean(self) -> DataFrame:

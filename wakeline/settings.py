@@ -1,12 +1,10 @@
-"""Rule parameters and session helpers."""
+"""Rule parameters."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -25,27 +23,3 @@ class Rules:
 def seconds(value: float) -> Column:
     """A day-time interval of ``value`` seconds."""
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(value))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
-
-    Only a session that names none (tests) gets a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="wakeline-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    Used where a result steers the plan that follows it. The written table
-    survives lost executors, and later reads prune its columns.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/wakeline/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

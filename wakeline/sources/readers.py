@@ -45,6 +45,21 @@ def kafka_stream(
     return positioned(reader.load())
 
 
+def kafka_table(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """Everything a topic holds now, for a batch replay."""
+    return positioned(
+        spark.read.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .load()
+    )
+
+
+def recorded_table(spark: SparkSession, path: str) -> DataFrame:
+    """A recorded topic as one table, for a batch replay."""
+    return positioned(spark.read.schema(TOPIC_RECORD).json(path))
+
+
 def recorded_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
     """A topic recorded as JSON files with key, value, partition, offset, timestamp."""
     return positioned(
@@ -79,23 +94,25 @@ def open_stream(
     servers: str | None = None,
     topic: str | None = None,
     path: str | None = None,
+    **options,
 ) -> DataFrame:
     """``kafka``, ``recorded`` or ``file``; ``auto`` takes Kafka when servers are named.
 
     There is no fallback when the chosen source cannot be reached: that fails.
+    ``options`` go to the source's own function.
     """
     if source == "auto":
         source = "kafka" if servers else "file"
     if source == "kafka":
         if not (servers and topic):
             raise ValueError("a Kafka source needs servers and topic")
-        return kafka_stream(spark, servers, topic)
+        return kafka_stream(spark, servers, topic, **options)
     if not path:
         raise ValueError(f"a {source} source needs a path")
     if source == "recorded":
-        return recorded_stream(spark, path)
+        return recorded_stream(spark, path, **options)
     if source == "file":
-        return jsonl_stream(spark, path)
+        return jsonl_stream(spark, path, **options)
     raise ValueError(f"unknown source {source!r}")
 
 

@@ -19,6 +19,7 @@ import json
 import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -242,3 +243,24 @@ class QualityJob:
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=every).start()
+
+    def run(
+        self,
+        open_stream: Callable[[], DataFrame],
+        attempts: int = 30,
+        delay_s: float = 15,
+        **start_options,
+    ) -> None:
+        """Keep the query running: after a failure wait and resume, ``attempts`` times.
+
+        Returns when the query ends by itself or is stopped.
+        """
+        for left in range(attempts, -1, -1):
+            query = self.start(open_stream(), **start_options)
+            try:
+                query.awaitTermination()
+                return
+            except StreamingQueryException:
+                if not left:
+                    raise
+                time.sleep(delay_s)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from wakeline.schema import DETAIL, MINUTE, REJECTED
 from wakeline.sources import storage
+from wakeline.streaming.job import COMMIT
 
 TABLES = {"detail": DETAIL, "rejected": REJECTED, "minutes": MINUTE}
 GENERATION = "up_to BIGINT, made_ms BIGINT"
@@ -25,6 +26,13 @@ def last_commit(spark: SparkSession, root: str) -> int:
     return -1
 
 
+def read_commits(spark: SparkSession, root: str) -> DataFrame:
+    """Watermark and counters of every committed batch that is still listed."""
+    path = f"{root}/commits"
+    schema = f"{COMMIT}, batch_id BIGINT"
+    return spark.read.schema(schema).parquet(path).where(F.col("batch_id") <= last_commit(spark, root))
+
+
 def _generations(spark: SparkSession, root: str, table: str) -> list[int]:
     """Finished generations of merged files, oldest first."""
     pointers = f"{root}/merged/{table}/pointers"
@@ -120,7 +128,8 @@ def expire_state(spark: SparkSession, root: str) -> int:
     last = last_commit(spark, root)
     if last < 0:
         return 0
-    commit = spark.read.parquet(f"{root}/commits/batch_id={last}").select("recent").first()
+    path = f"{root}/commits/batch_id={last}"
+    commit = spark.read.schema(COMMIT).parquet(path).select("recent").first()
     remembered = {past["batch_id"] for past in commit["recent"]}
     keep = {
         "state/accepted": lambda batch_id: batch_id in remembered,
