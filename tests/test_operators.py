@@ -17,6 +17,7 @@ from wakeline.operators.running import running
 from wakeline.plans import synth
 from wakeline.settings import Rules
 from wakeline.sources.arrival import with_arrival_order
+from wakeline.sources.wire import decode
 
 
 @pytest.mark.parametrize("width", [1, 7, 64, 1 << 20])
@@ -133,6 +134,32 @@ def test_reasons(spark):
     ]
 
 
+def test_odd_fields(spark):
+    """Numbers may come as text; times must be ISO-8601 in UTC."""
+    cases = [
+        ('{"engine_temp_c": 680, "event_id": 7}', ("7", 680.0, None)),
+        ('{"engine_temp_c": "680.5", "event_time": "2026-01-01T00:00:00Z"}', (None, 680.5, 0)),
+        ('{"engine_temp_c": "hot", "event_time": "2026-01-01T00:00:01.2349Z"}', (None, None, 1234)),
+        ('{"engine_temp_c": true, "event_time": "2026-01-01 00:00:00"}', (None, None, None)),
+        ('{"engine_temp_c": {"a": 1}, "event_time": "2026-01-01T00:00:00+01:00"}', (None, None, None)),
+        ('{"engine_temp_c": null, "event_time": 5}', (None, None, None)),
+        ('{"event_time": "2026-13-01T00:00:00Z", "more": [1]}', (None, None, None)),
+    ]
+    raw = spark.createDataFrame([(text,) for text, _ in cases], "raw string").coalesce(1)
+    base = 1767225600000
+    got = decode(raw).select("event_id", "engine_temp_c", F.unix_millis("event_time") - base)
+    assert [tuple(row) for row in got.collect()] == [want for _, want in cases]
+    skipped = ["", "null", "1", "[]", '"text"', '{"event_id": "a"', "junk"]
+    raw = spark.createDataFrame([(text,) for text in [*skipped, None]], "raw string")
+    assert decode(raw).count() == 0
+
+
+def test_overheat_is_strict_and_ignores_nan(spark):
+    temps = [999.0, 1000.0, 1000.1, None, float("nan")]
+    df = spark.createDataFrame([(t,) for t in temps], "engine_temp_c double").coalesce(1)
+    assert [r[0] for r in df.select(R.overheat()).collect()] == [False, False, True, False, False]
+
+
 def test_unknown_watermark_rejects_nothing(spark):
     df = spark.sql("SELECT 'a' AS event_id, 'b' AS aircraft_id, 'c' AS flight_id, "
                    "timestamp'2026-01-01' AS event_time, 1D AS engine_temp_c")

@@ -23,7 +23,9 @@ def blank(name: str) -> Column:
 
 
 def overheat(rules: Rules = Rules()) -> Column:
-    return F.coalesce(F.col("engine_temp_c") > F.lit(rules.temp_limit_c), F.lit(False))
+    """Strictly above the limit. NaN, which Spark sorts above all numbers, is not."""
+    temp = F.col("engine_temp_c")
+    return F.coalesce((temp > F.lit(rules.temp_limit_c)) & ~F.isnan(temp), F.lit(False))
 
 
 def late(watermark: Column) -> Column:

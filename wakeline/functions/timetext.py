@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_MS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+ISO_TEXT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?Z$"
 CLOCK_MS = "HH:mm:ss.SSS'Z'"
 
 
@@ -22,5 +23,5 @@ def clock_ms(ts: Column) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """Timestamp of an ISO text; NULL when it is none. Kept to milliseconds."""
-    return F.date_trunc("millisecond", F.try_to_timestamp(text))
+    """Timestamp of an ISO text in UTC; NULL when it is none. Kept to milliseconds."""
+    return F.when(text.rlike(ISO_TEXT), F.date_trunc("millisecond", F.try_to_timestamp(text)))

@@ -19,17 +19,20 @@ from wakeline.sources.staging import staged
 
 # Ids with more copies than this are resolved round by round instead of in one array.
 FOLD_ROWS = 4096
-# Largest id table that is broadcast; larger ones are joined with salted keys.
+# Largest id table that is broadcast, in rows and in characters of their ids; larger
+# ones are joined with salted keys.
 BROADCAST_IDS = 200_000
+BROADCAST_CHARS = 20_000_000
 SALTS = 32
 
 
 def _join_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Join rows with one row per id, also when one id owns most rows.
 
-    ``ids`` is a staged table, so counting it is cheap.
+    ``ids`` is read from a staged table, so measuring it is cheap.
     """
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    size = ids.agg(F.count("_id").alias("rows"), F.sum(F.length("_id")).alias("chars")).first()
+    if size["rows"] <= BROADCAST_IDS and (size["chars"] or 0) <= BROADCAST_CHARS:
         return rows.join(F.broadcast(ids), "_id")
     salted = ids.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return (

@@ -116,8 +116,8 @@ def with_offsets(rows: DataFrame, arrivals: DataFrame) -> DataFrame:
 def wire_feed(arrivals: DataFrame) -> DataFrame:
     """The feed as raw JSON text with broken messages among it.
 
-    By event number modulo 100: 31 is cut short, 71 is an array, 63 carries
-    text in a number field.
+    By event number modulo 100: 31 is cut short, 71 is an array, 63 carries a
+    word and 61 a number as text in a number field.
     """
     k = F.col("n") % 100
     text = iso_payload()
@@ -125,6 +125,7 @@ def wire_feed(arrivals: DataFrame) -> DataFrame:
         F.when(k == 31, F.expr("left(raw, length(raw) - 1)"))
         .when(k == 71, F.concat(F.lit("["), "raw", F.lit("]")))
         .when(k == 63, F.regexp_replace("raw", '"engine_temp_c":[^,]*', '"engine_temp_c":"hot"'))
+        .when(k == 61, F.regexp_replace("raw", '"engine_temp_c":([^,]*)', '"engine_temp_c":"$1"'))
         .otherwise(F.col("raw"))
     )
     return arrivals.select(

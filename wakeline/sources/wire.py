@@ -5,26 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.timetext import iso_ms
-from wakeline.schema import EVENT
+from wakeline.functions.timetext import iso_ms, parse_iso
+from wakeline.schema import EVENT, SENSORS
 
 PAYLOAD = EVENT.fieldNames()
+# Every field is taken as text first, so that one odd field cannot spoil another.
+TEXTS = ", ".join(f"{name} STRING" for name in PAYLOAD)
+
+
+def _typed(name: str) -> Column:
+    text = F.col(f"_event.{name}")
+    if name == "event_time":
+        return parse_iso(text).alias(name)
+    return (text.try_cast("double") if name in SENSORS else text).alias(name)
 
 
 def parse(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Replace ``raw`` by the payload columns and ``is_object``.
 
-    In a JSON object a missing field, or one of the wrong type, becomes NULL.
+    In a JSON object a missing field becomes NULL, and so does a time that is no
+    ISO-8601 text in UTC and a sensor that is no number. Numbers may come as text.
     """
     others = [name for name in df.columns if name != raw]
-    event = F.from_json(raw, EVENT, {"mode": "PERMISSIVE"})
-    return (
-        df.select(
-            *others, event.alias("_event"), F.json_object_keys(raw).isNotNull().alias("is_object")
-        )
-        .select(*others, "_event.*", "is_object")
-        .withColumn("event_time", F.date_trunc("millisecond", "event_time"))
-    )
+    event = F.from_json(raw, TEXTS, {"mode": "PERMISSIVE"})
+    return df.select(
+        *others, event.alias("_event"), F.json_object_keys(raw).isNotNull().alias("is_object")
+    ).select(*others, *[_typed(name) for name in PAYLOAD], "is_object")
 
 
 def decode(df: DataFrame, raw: str = "raw") -> DataFrame:
