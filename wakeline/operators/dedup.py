@@ -106,6 +106,7 @@ def accepted_positions(
     per_id = staged(
         rows.groupBy("_id").agg(
             F.min("_seq").alias("_seq"),
+            F.max("_seq").alias("_last_seq"),
             F.min("_at").alias("_first_at"),
             F.max("_at").alias("_last_at"),
             F.count(F.lit(1)).alias("_copies"),
@@ -114,13 +115,19 @@ def accepted_positions(
     )
     parts = [per_id.select("_seq")]
 
-    # Only ids whose copies span the memory can be accepted twice.
+    # Only ids whose copies span the memory can be accepted twice. With two copies
+    # those are the first and the last; with more, the copies have to be looked at.
     spanning = per_id.where(F.col("_last_at") >= F.col("_first_at") + seconds(ttl_s))
-    few, many = F.col("_copies") <= fold_rows, F.col("_copies") > fold_rows
-    found = spanning.agg(F.count_if(few).alias("few"), F.count_if(many).alias("many")).first()
+    copies, most = F.col("_copies"), max(fold_rows, 2)
+    two, few, many = copies == 2, copies.between(3, most), copies > most
+    found = spanning.agg(
+        F.count_if(two).alias("two"), F.count_if(few).alias("few"), F.count_if(many).alias("many")
+    ).first()
+    if found["two"]:
+        parts.append(spanning.where(two).select(F.col("_last_seq").alias("_seq")))
     if found["few"]:
         few_ids = spanning.where(few).select("_id")
-        parts.append(_fold(_join_ids(rows, few_ids), ttl_s, fold_rows))
+        parts.append(_fold(_join_ids(rows, few_ids), ttl_s, most))
     if found["many"]:
         many_ids = spanning.where(many).select("_id", "_first_at")
         many_rows = _join_ids(rows, many_ids.select("_id"))
