@@ -52,6 +52,24 @@ def test_running_aggregates(spark, monkeypatch, width):
             assert got == want
 
 
+def test_running_shuffles_the_rows_once(spark, tmp_path):
+    """Rows are sorted once for window and join; bucket totals are read once."""
+    spark.range(1000).selectExpr("id", "id * 7 % 100 AS v").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    result = running(rows, "id", {"hi": ("max", F.col("v"))}, width=16)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert result.count() == 1000
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan.split("Initial Plan")[0]
+    assert final.count("FileScan") == 2 and "ReusedExchange" in final
+    assert final.count("Sort [_bucket#") == 3, "rows, their carry, and the groups"
+    assert final.count("SinglePartition") == 1
+
+
 def test_running_handles_structs(spark):
     df = spark.range(20).withColumn("pair", F.struct("id", (F.col("id") % 3).alias("m")))
     got = running(df, "id", {"last": ("max", F.when(F.col("id") % 5 == 0, F.col("pair")))}, width=4)

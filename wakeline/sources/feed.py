@@ -21,7 +21,7 @@ AIRCRAFT = 50
 
 # Arrivals of one event: itself, a close copy, and a copy after the dedup memory.
 COPIES = """
-inline(array_compact(array(
+inline(array(
   struct(0 AS copy, 10 * event_id AS arrival_seq, event_id AS tsec),
   CASE WHEN event_id % 20 = 11 THEN
     struct(1 AS copy,
@@ -29,7 +29,7 @@ inline(array_compact(array(
            event_id AS tsec) END,
   CASE WHEN event_id % 1000 = 91 AND event_id + 3700 < newest THEN
     struct(2 AS copy, 10 * event_id + 37001 AS arrival_seq, event_id + 3700 AS tsec) END
-)))
+))
 """
 
 # Seconds an event time is moved back, by event number modulo 100.
@@ -92,6 +92,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "value",
             COPIES,
         )
+        .where("copy IS NOT NULL")
         .selectExpr("*", f"{SHIFT} AS shift")
         .selectExpr(
             "arrival_seq", "copy", "n", *[f"{sql} AS {name}" for name, sql in COLUMNS.items()]
