@@ -283,11 +283,14 @@ def test_merge_and_expire(spark, batches):
     for name in tables.TABLES:
         assert tables.merge_files(spark, batches.root, name, 1000) == 0
         assert sorted(map(str, batches.table(name).collect())) == whole[name]
+    assert tables.merge_files(spark, batches.root, "detail", 1500) is None
     batches.batch(reading("F", 75))
     assert batches.table("detail").count() == 5
     assert tables.merge_files(spark, batches.root, "detail", 2000) == 1
-    assert tables.expire(spark, batches.root, "detail", 2000) == 0
-    assert tables.expire(spark, batches.root, "detail", 2001) == 5
+    assert tables.expire(spark, batches.root, "detail", 1000) == 0
+    assert tables.expire(spark, batches.root, "detail", 2000) == 2
+    assert batches.table("detail").count() == 5
+    assert tables.expire(spark, batches.root, "detail", 2001) == 1
     assert batches.table("detail").count() == 5
     assert tables.expire_state(spark, batches.root) > 0
     batches.batch(reading("A", 80), reading("G", 81))

@@ -48,45 +48,61 @@ def _generation(spark: SparkSession, root: str, table: str, number: int):
     return spark.read.schema(GENERATION).parquet(path).first()
 
 
+def _merged_to(spark: SparkSession, root: str, table: str, older_than_ms: int | None = None) -> int:
+    """Newest batch the generations hold, of those made before ``older_than_ms``."""
+    found = [_generation(spark, root, table, g) for g in _generations(spark, root, table)]
+    return max(
+        (g["up_to"] for g in found if older_than_ms is None or g["made_ms"] < older_than_ms),
+        default=-1,
+    )
+
+
+def _batches(spark: SparkSession, root: str, table: str, after: int, to: int) -> DataFrame:
+    rows = spark.read.schema(_batch_schema(table)).parquet(f"{root}/{table}")
+    return rows.where((F.col("batch_id") > after) & (F.col("batch_id") <= to)).select(
+        *TABLES[table].fieldNames()
+    )
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Committed rows of ``detail``, ``rejected`` or ``minutes``."""
-    last, columns = last_commit(spark, root), TABLES[table].fieldNames()
-    generations = _generations(spark, root, table)
-    merged_to, merged = -1, None
-    if generations:
-        newest = generations[-1]
-        merged_to = _generation(spark, root, table, newest)["up_to"]
-        merged = (
-            spark.read.schema(TABLES[table])
-            .parquet(f"{root}/merged/{table}/rows/generation={newest}")
-            .select(*columns)
-        )
-    if last <= merged_to:
-        return merged if merged is not None else spark.createDataFrame([], TABLES[table])
-    batches = (
-        spark.read.schema(_batch_schema(table))
-        .parquet(f"{root}/{table}")
-        .where((F.col("batch_id") > merged_to) & (F.col("batch_id") <= last))
-        .select(*columns)
+    last, generations = last_commit(spark, root), _generations(spark, root, table)
+    if not generations:
+        if last < 0:
+            return spark.createDataFrame([], TABLES[table])
+        return _batches(spark, root, table, -1, last)
+    merged = (
+        spark.read.schema(TABLES[table])
+        .parquet(f"{root}/merged/{table}/rows")
+        .where(F.col("generation") <= generations[-1])
+        .select(*TABLES[table].fieldNames())
     )
-    return batches if merged is None else merged.unionByName(batches)
+    merged_to = _merged_to(spark, root, table)
+    if last <= merged_to:
+        return merged
+    return merged.unionByName(_batches(spark, root, table, merged_to, last))
 
 
-def merge_files(spark: SparkSession, root: str, table: str, now_ms: int) -> int:
-    """Rewrite the committed rows by aircraft into a new generation.
+def merge_files(spark: SparkSession, root: str, table: str, now_ms: int) -> int | None:
+    """Rewrite the batches committed since the last merge by aircraft.
 
-    The old files stay until :func:`expire`; readers change over with the
-    pointer, which is written last. Rebalancing splits a large aircraft over
-    several files and joins small ones. The files keep ``aircraft_id`` itself,
-    since a folder name cannot tell an empty one from NULL.
+    Only those batches are read, so merging costs what came in, not what is
+    there. They stay until :func:`expire`; readers change over with the pointer,
+    which is written last. Rebalancing splits a large aircraft over several files
+    and joins small ones. The files keep ``aircraft_id`` itself, since a folder
+    name cannot tell an empty one from NULL. Returns the new generation's number,
+    None when nothing new was committed.
     """
-    last = last_commit(spark, root)
+    last, merged_to = last_commit(spark, root), _merged_to(spark, root, table)
+    if last <= merged_to:
+        return None
     generations = _generations(spark, root, table)
     number = generations[-1] + 1 if generations else 0
-    rows = read_table(spark, root, table).withColumn("by_aircraft", F.col("aircraft_id"))
     base = f"{root}/merged/{table}"
     (
-        rows.hint("rebalance", "by_aircraft")
+        _batches(spark, root, table, merged_to, last)
+        .withColumn("by_aircraft", F.col("aircraft_id"))
+        .hint("rebalance", "by_aircraft")
         .write.mode("overwrite")
         .partitionBy("by_aircraft")
         .option("compression", "zstd")
@@ -100,26 +116,18 @@ def merge_files(spark: SparkSession, root: str, table: str, now_ms: int) -> int:
 
 
 def expire(spark: SparkSession, root: str, table: str, older_than_ms: int) -> int:
-    """Delete what the newest generation replaced, if it was made before ``older_than_ms``.
+    """Delete the batches that merges made before ``older_than_ms`` have replaced.
 
     Returns the number of folders deleted.
     """
-    generations = _generations(spark, root, table)
-    if not generations:
-        return 0
-    newest = _generation(spark, root, table, generations[-1])
-    if newest["made_ms"] >= older_than_ms:
-        return 0
+    merged_to = _merged_to(spark, root, table, older_than_ms)
     replaced = [
-        f"{root}/{table}/batch_id={batch_id}"
+        batch_id
         for batch_id in storage.numbered(spark, f"{root}/{table}", "batch_id")
-        if batch_id <= newest["up_to"]
+        if batch_id <= merged_to
     ]
-    for number in generations[:-1]:
-        for part in ("pointers", "rows"):
-            replaced.append(f"{root}/merged/{table}/{part}/generation={number}")
-    for path in replaced:
-        storage.delete(spark, path)
+    for batch_id in replaced:
+        storage.delete(spark, f"{root}/{table}/batch_id={batch_id}")
     return len(replaced)
 
 
