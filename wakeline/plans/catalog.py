@@ -15,7 +15,7 @@ from wakeline.plans import synth
 from wakeline.plans.replay import Replay, clean_records, rejected_columns
 from wakeline.sources.feed import START_S, feed, read_events, wire_feed, with_offsets
 from wakeline.sources.staging import staged
-from wakeline.sources.wire import PAYLOAD, decode, publish_records
+from wakeline.sources.wire import PAYLOAD, decode, parse, publish_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,10 +198,10 @@ def flight_counts(spark, sf_dir):
 
 def job_counters(spark, sf_dir):
     """Counters of the whole job, from raw messages to stored rows."""
-    raw = wire_feed(feed(spark, sf_dir))
-    # Decoded once; every later pass reads only the columns it needs.
-    replay = Replay(staged(decode(raw), "decoded"))
-    lines = raw.agg(F.count(F.lit(1))).scalar()
+    # Parsed once; every later pass reads only the columns it needs.
+    parsed = staged(parse(wire_feed(feed(spark, sf_dir))), "parsed")
+    replay = Replay(parsed.where("is_object").drop("is_object"))
+    lines = parsed.agg(F.count(F.lit(1))).scalar()
     counters = reports.stage_counters(replay.marked)
     return counters.select(
         lines.alias("ingested"), (lines - F.col("decoded")).alias("parse_failed"), "*"
