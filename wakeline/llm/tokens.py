@@ -18,6 +18,7 @@ kept, in order of id and content. An empty table gives no block.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,50 +32,76 @@ from wakeline.llm.huffman import CHECKPOINT, Codes, code_lengths, decode, encode
 from wakeline.sources.staging import staged
 
 BLOCK_IDS = 1 << 16
-CACHED = 300_000
+CACHED = 700_000
 _open: dict[str, _Pieces] = {}
+# Punctuation that may close a word; an apostrophe may belong to what follows it.
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+# Fixed: byte-level vocabularies write a printable Latin-1 byte as itself, the others
+# in order as the characters from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 
 
 class _Pieces(dict):
-    """Ids of pieces as bytes, filled by the tokenizer; older pieces are dropped in bulk."""
+    """Ids of pieces as bytes, filled by the tokenizer; older pieces are dropped in bulk.
+
+    Capitals and a closing run of punctuation are taken off plain Latin words first, and
+    the word alone is looked up, or given to the tokenizer's model. That holds for
+    tokenizers that fold case and split words from punctuation; others (``plain`` is
+    False then) get every piece as it is.
+    """
 
     def __init__(self, path: str, wide: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u4" if wide else "<u2"
+        self.model = self.tokenizer.model
+        self.kind, self.code = ("<u4", "I") if wide else ("<u2", "H")
         self.stems: dict[str, bytes] = {}
-        own = [self._ids(x) for x in ("a", "b", "a b", "a  b")]
-        if own[0] + own[1] != own[2] or own[2] != own[3]:
-            raise ValueError(f"{path} does not drop spaces between tokens")
+        self.marks: dict[str, bytes] = {}
+        own = [self._ids(x) for x in ("a", "b", "a b", "a  b", "a\nb")]
+        if any(own[0] + own[1] != x for x in own[2:]):
+            raise ValueError(f"{path} does not drop white space between tokens")
+        self.plain = all(
+            self._word(x.lower()) + self._ids(end) == self._ids(x + end)
+            for x in ("the", "Hello", "ANTIDISESTABLISHMENT", "École", "Straße")
+            for end in (".", ",", "!!", ".!!", "?")
+        )
 
     def _ids(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
+        return array(self.code, ids).tobytes()
 
-    def _stem(self, word: str) -> bytes:
-        """Ids of a plain word, which the model alone can tell."""
-        known = self.stems.get(word)
-        if known is None:
-            if len(self.stems) >= CACHED:
-                self.stems.clear()
-            known = self.stems[word] = self._ids(word)
-        return known
+    def _word(self, word: str) -> bytes:
+        """Ids of one lower-case word by the model, which knows bytes as characters."""
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SPELLED)
+        return array(self.code, [token.id for token in self.model.tokenize(spelled)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        word = piece.rstrip(".,")
-        end = piece[len(word) :]
-        if len(end) == 1 and word.isascii() and word.isalpha():
-            ids = self._stem(word.lower()) + self._stem(end)
-        elif piece.isascii() and piece.isalpha():
-            ids = self._stem(piece.lower())
+        word = piece.rstrip(_MARKS)
+        if self.plain and word.isalpha():
+            low = word.lower()
+            ids = self.stems.get(low)
+            if ids is None:
+                if not low.isascii() and (max(low) >= "\u0250" or len(low) != len(word)):
+                    return self._ids(piece)
+                ids = self.stems[low] = self._word(low)
+            if len(word) != len(piece):
+                mark = piece[len(word) :]
+                if mark not in self.marks:
+                    self.marks[mark] = self._ids(mark)
+                ids += self.marks[mark]
         else:
             ids = self._ids(piece)
         self[piece] = ids
         return ids
 
+    def trimmed(self) -> None:
+        """Forget what exceeds the limit; asked for after every few texts."""
+        for known in (self, self.stems, self.marks):
+            if len(known) > CACHED:
+                known.clear()
+
 
 def _pieces(path: str, wide: bool) -> _Pieces:
     """One cache for each tokenizer, kept while the worker lives."""
@@ -92,6 +119,7 @@ def _encoder(path: str, wide: bool, end_id: int):
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
+                pieces.trimmed()
                 ids = [
                     b"".join(map(get, text.replace("\n", " ").split(" "))) + end if text else end
                     for text in part.column(1).to_pylist()
