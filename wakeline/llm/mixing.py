@@ -182,7 +182,7 @@ def contents(plan: Mix) -> DataFrame:
         "first_word",
         "words",
     )
-    return plan.slots.join(parts, _same("source", "_of") & (F.col("block") == F.col("_at"))).drop(
+    return plan.slots.hint("merge").join(parts, _same("source", "_of") & (F.col("block") == F.col("_at"))).drop(
         "_of", "_at"
     )
 
@@ -192,7 +192,8 @@ def taken(plan: Mix) -> DataFrame:
     reads = plan.slots.groupBy("source", "block").agg(F.count("*").alias("reads"))
     reads = reads.select(F.col("source").alias("_of"), F.col("block").alias("_at"), "reads")
     words = (
-        plan.parts.join(reads, _same("source", "_of") & (F.col("block") == F.col("_at")))
+        # Sizes behind an explode are guessed too low for Spark to choose this join itself.
+        plan.parts.join(reads.hint("merge"), _same("source", "_of") & (F.col("block") == F.col("_at")))
         .groupBy("_order")
         .agg(F.sum(F.col("words") * F.col("reads")).alias("taken"))
     )
