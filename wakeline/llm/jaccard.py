@@ -11,13 +11,18 @@ What makes candidates few, without losing a link between different sets:
 2. A class can only link if at least three quarters of its n-grams occur elsewhere. n-grams
    are dealt by ranges to tasks as packed places, and each range says which places are
    shared; most documents end here.
-3. Stars: classes with the same least n-gram under some hash are compared to the smallest
-   of them, which joins most large groups of copies with one link a member.
+3. Stars: classes with the same least n-gram under some hash are compared to one of them,
+   the hub. In further turns with other hubs only classes take part that step 4 would
+   have to look at. That joins most large groups of copies with few links a member.
 4. The rest exactly: only classes of which three quarters of the n-grams occur in other
    components can still link. They are joined by prefix, rarest n-grams first, across
-   components only, and the new links are added to the components.
+   components only, and the new links are added to the components. Two bounds keep that
+   join from giving out pairs that cannot link: the n-grams that either set shares with
+   anything, and the bits in which the parities of both sets differ, of which a
+   difference between the sets changes one at most.
 
-A star or prefix never drops a pair because a group is large. Result: class and component
+A star or prefix never drops a pair because a group is large. Near copies that all lie
+just below the threshold are still compared with each other inside that join. Result: class and component
 of every document. Texts that are null or hold no word have an empty set and link with
 nothing. Repeated rows are equal sets. Null ids count as larger than any id, so a
 component's id is null only if all its ids are.
@@ -42,9 +47,11 @@ from wakeline.sources.staging import staged
 WIDTH = 5
 FRAGMENTS = 4
 STARS = 8
-BLOCK_GRAMS = 2_000_000
+TURNS = 3
+BLOCK_GRAMS = 1_000_000
 BLOCK_SETS = 65_000
 RANGE_BYTES = 1 << 23
+PARITY_WORDS = 16
 _LOW = 24
 _SHARED = 0xFFFF
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, STARS, dtype=np.uint64)
@@ -247,7 +254,13 @@ def set_sizes(documents: DataFrame) -> DataFrame:
 
 # -- Classes and their fragments ----------------------------------------------------------
 
-_SEGMENTS = "cid long, class binary, n long, fragment long, grams array<long>, keys array<long>"
+_SEGMENTS = "cid long, class binary, n long, fragment long, grams array<long>, keys array<long>, parity array<long>"
+
+
+def _parity(grams: np.ndarray) -> np.ndarray:
+    """For each of some groups of n-grams, by hash, whether the set holds an odd number."""
+    group = (grams & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64)
+    return np.packbits(np.bincount(group, minlength=64 * PARITY_WORDS) & 1).view(np.int64)
 
 
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +270,7 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first in range(0, batch.num_rows, 200):
             part = batch.slice(first, 200)
-            cid, classes, sizes, fragments, grams, keys = [], [], [], [], [], []
+            cid, classes, sizes, fragments, grams, keys, parity = [], [], [], [], [], [], []
             for wanted, own in zip(part.column(0).to_pylist(), gram_sets(part.column(1)), strict=True):
                 if xxhash.xxh3_128_digest(own.tobytes()) != wanted:
                     continue  # another text under the same id
@@ -270,6 +283,7 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     grams.append(own[bounds[k] : bounds[k + 1]].view(np.int64))
                     least = [int(mix(own ^ s).min()) >> 1 for s in _SEEDS] if k == 0 else []
                     keys.append(np.array(least, np.int64))
+                    parity.append(_parity(own) if k == 0 else keys[-1])
                 at += 1
             yield pa.RecordBatch.from_arrays(
                 [
@@ -282,10 +296,10 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             pa.array(np.cumsum([0, *map(len, x)]), pa.int32()),
                             pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()),
                         )
-                        for x in (grams, keys)
+                        for x in (grams, keys, parity)
                     ],
                 ],
-                ["cid", "class", "n", "fragment", "grams", "keys"],
+                ["cid", "class", "n", "fragment", "grams", "keys", "parity"],
             )
 
 
@@ -354,15 +368,26 @@ def _sizes_fit(left: Column, right: Column) -> Column:
     return 4 * F.least(left, right) >= 3 * F.greatest(left, right)
 
 
-def stars(cut: DataFrame) -> DataFrame:
-    """Each class with the smallest one that has the same least n-gram, for several hashes."""
-    keyed = cut.filter("fragment = 0").select("cid", "n", F.posexplode("keys").alias("hash", "key"))
+def stars(cut: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Each class with one that has the same least n-gram, for several hashes.
+
+    Every hash, and every turn, picks its hubs by another order, so that one odd hub
+    does not keep a group apart. ``labels`` (cid, component) names the classes that take
+    part; pairs within a component are left out.
+    """
+    keyed = (
+        cut.filter("fragment = 0")
+        .join(labels.select("cid", "component"), "cid")
+        .select("cid", "n", "component", F.posexplode("keys").alias("hash", "key"))
+    )
+    place = F.xxhash64("cid", "hash", F.lit(turn)).alias("place")
     hubs = keyed.groupBy("hash", "key").agg(
-        F.min(F.struct("cid", "n")).alias("hub"), F.count("*").alias("members")
+        F.min(F.struct(place, "cid", "n", "component")).alias("hub"), F.count("*").alias("members")
     )
     met = keyed.join(hubs.filter("members > 1"), ["hash", "key"])
-    fit = (F.col("hub.cid") != F.col("cid")) & _sizes_fit(F.col("n"), F.col("hub.n"))
-    return met.filter(fit).select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct()
+    fit = (F.col("hub.component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("hub.n"))
+    pair = F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")
+    return met.filter(fit).select(*pair).distinct()
 
 
 def _class_dealer(bits: int):
@@ -436,12 +461,42 @@ def across(cut: DataFrame, open_classes: DataFrame) -> DataFrame:
         .withColumn("mixed", F.count("*").over(Window.partitionBy("cid")))
         .filter("rank <= (n DIV 4) + 1 - (n - mixed)")
     )
-    prefix = staged(ranked.select("cid", "n", "component", "gram"), "prefixes")
-    other = prefix.select(
-        F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "gram"
+    parity = cut.filter("fragment = 0").select(
+        "cid", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY_WORDS)]
+    )
+    kept = ranked.filter("4 * mixed >= 3 * n").select("cid", "n", "component", "mixed", "gram")
+    prefix = staged(kept.join(parity, "cid"), "prefixes")
+    left, right = prefix.alias("x"), prefix.alias("y")
+    both = F.col("x.n") + F.col("y.n")
+    apart = sum(
+        F.bit_count(F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}"))) for k in range(PARITY_WORDS)
     )
-    fit = (F.col("component") < F.col("c_b")) & _sizes_fit(F.col("n"), F.col("n_b"))
-    return prefix.join(other, "gram").filter(fit).select(F.col("cid").alias("a"), "b").distinct()
+    fit = (
+        (F.col("x.component") < F.col("y.component"))
+        & _sizes_fit(F.col("x.n"), F.col("y.n"))
+        & (7 * F.least("x.mixed", "y.mixed") >= 3 * both)
+        & (7 * apart <= both)
+    )
+    return (
+        left.join(right, (F.col("x.gram") == F.col("y.gram")) & fit)
+        .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
+        .distinct()
+    )
+
+
+def grouped(cut: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links of some turns of stars, the components they make, and the classes still open."""
+    labels = classes.select("cid", F.col("cid").alias("component"))
+    part, links = labels, None
+    for turn in range(TURNS):
+        new = staged(verified(stars(cut, part, turn), cut).select("a", "b"), "links")
+        links = new if links is None else links.unionAll(new)
+        if turn == 0 or not new.isEmpty():
+            labels = _labels(classes, components(links))
+        part = staged(outside(cut, labels), "open")
+        if part.isEmpty():
+            break
+    return links, labels, part
 
 
 def linked(documents: DataFrame) -> DataFrame:
@@ -449,11 +504,10 @@ def linked(documents: DataFrame) -> DataFrame:
     sizes = staged(set_sizes(documents), "sets")
     cut = segments(documents, sizes)
     classes = cut.filter("fragment = 0").select("cid", "class")
-    links = staged(verified(stars(cut), cut), "links")
-    labels = _labels(classes, components(links))
-    open_classes = staged(outside(cut, labels), "open")
+    links, ends, open_classes = grouped(cut, classes)
     more = staged(verified(staged(across(cut, open_classes), "pairs"), cut), "links")
-    ends = _labels(classes, components(links.unionAll(more)))
+    if not more.isEmpty():
+        ends = _labels(classes, components(links.select("a", "b").unionAll(more.select("a", "b"))))
     smallest = sizes.groupBy("class").agg(F.min("doc_id").alias("doc"))
     named = classes.join(ends, "cid").join(smallest, "class")
     by_component = named.groupBy("component").agg(F.min("doc").alias("component_id"))
