@@ -41,8 +41,8 @@ def folder(spark: SparkSession, name: str) -> str:
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     forged = spark.sql(
-        "select -1L as conv_id, turn, role, text from values (0L, 'user'), (1L, 'assistant') as t(turn, role) "
-        f"cross join (select '{FORGED}' as text)"
+        f"select * from values (-1L, 0L, 'user', '{FORGED}'), (-1L, 1L, 'assistant', '{FORGED}') "
+        "as t(conv_id, turn, role, text)"
     )
     pieces = staged(chat.format_chats(turns.unionByName(forged)), "chats")
     return chat.digests(pieces)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 LEAST_REVISIT = 1000
 SAMPLE_RECORDS = 2000
-SAMPLE_BYTES = 1 << 14
+SAMPLE_BYTES = 1 << 13
 DICTIONARY_BYTES = 1 << 16
 FILE_BYTES = 256 << 20
 DATE = "2026-01-01T00:00:00Z"
