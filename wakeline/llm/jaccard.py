@@ -47,7 +47,7 @@ from wakeline.sources.staging import staged
 WIDTH = 5
 FRAGMENTS = 4
 STARS = 8
-TURNS = 3
+TURNS = 6
 BLOCK_GRAMS = 1_000_000
 BLOCK_SETS = 65_000
 RANGE_BYTES = 1 << 23
