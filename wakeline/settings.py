@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rules:
-    """Limits of the quality rules. The defaults are the reference's values."""
+    """Limits of the quality rules. The defaults are the usual values."""
 
     out_of_order_s: float = 5
     lateness_s: float = 15

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,13 +14,16 @@ from wakeline.sources import storage
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names none, as in tests, gets a temporary folder.
+    Only a local session that names none, as in tests, gets a temporary folder; on a
+    cluster that would be a folder of one machine, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wakeline-"))
     return context.getCheckpointDir()
 
