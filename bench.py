@@ -42,11 +42,6 @@ HEADLINE = (
     "partition_skew",
     "hot_key",
     "offset_progress",
-    "flight_profile",
-    "profile_checks",
-    "anomaly_feed",
-    "bulk_mix",
-    "skew_plan",
 )
 
 

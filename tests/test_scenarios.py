@@ -9,7 +9,7 @@ from tests.messages import Clock, Topic, W, at, message
 from tests.test_streaming import Run, drain
 from wakeline.functions import rules as R
 from wakeline.operators import reconcile, reports
-from wakeline.plans import catalog_tables, synth
+from wakeline.plans import catalog_tables
 from wakeline.plans.replay import Replay
 from wakeline.sources.arrival import replay_feed
 from wakeline.sources.readers import recorded_stream, recorded_table
@@ -18,27 +18,42 @@ from wakeline.streaming.job import QualityJob
 from wakeline.streaming.native import minute_agg_stream
 
 
+# How many messages of each kind, in order. Kind, count, ids shared with an
+# earlier kind, seconds, and what departs from a sound reading.
+FIRST_PHASE = [
+    ("sound", 37, None, 120, {}),
+    ("again", 8, "sound", 120, {}),
+    ("hot", 15, None, 120, {"engine_temp_c": 1100}),
+    ("empty id", 2, "", 120, {}),
+    ("spaces as id", 1, "   ", 120, {}),
+    ("empty id, no temperature", 1, "", 120, {"engine_temp_c": None}),
+    ("no aircraft", 4, None, 120, {"aircraft_id": None}),
+    ("no flight", 3, None, 120, {"flight_id": None}),
+    ("no time", 3, None, None, {}),
+    ("no temperature", 3, None, 120, {"engine_temp_c": None}),
+]
+SECOND_PHASE = [
+    ("behind", 10, None, 110, {}),
+    ("hot and behind", 5, None, 110, {"engine_temp_c": 1150}),
+    ("far behind", 8, None, 60, {}),
+]
+RUN, PLANE = "mix/", "plane 1"
+
+
+def phase(table):
+    rows = []
+    for kind, count, shared, second, departs in table:
+        for i in range(count):
+            blank = shared is not None and not shared.strip()
+            name = shared if blank else f"{RUN}{shared or kind}/{i}"
+            when = None if second is None else at(second)
+            rows.append(message(name, PLANE, "plane 1 leg 1", when) | departs)
+    return rows
+
+
 def scenario():
     """100 messages of one aircraft in two phases."""
-    aircraft, flight = "ACBx", "ACBx-LEG01"
-
-    def row(name, second, **other):
-        return message(name and f"BATCH-{name}", aircraft, flight, at(second), **other)
-
-    on_time, late, too_late = 120, 110, 60
-    first = [row(f"N-{i}", on_time) for i in range(37)]
-    first += [row(f"N-{i}", on_time) for i in range(8)]
-    first += [row(f"H-{i}", on_time, engine_temp_c=1100) for i in range(15)]
-    first += [row("", on_time), row("", on_time), message("   ", aircraft, flight, at(on_time))]
-    first += [row("", on_time, engine_temp_c=None)]
-    first += [message(f"BATCH-NOAC-{i}", None, flight, at(on_time)) for i in range(4)]
-    first += [message(f"BATCH-NOFL-{i}", aircraft, None, at(on_time)) for i in range(3)]
-    first += [message(f"BATCH-NOTS-{i}", aircraft, flight, None) for i in range(3)]
-    first += [row(f"NOTEMP-{i}", on_time, engine_temp_c=None) for i in range(3)]
-    second = [row(f"L-{i}", late, engine_temp_c=600) for i in range(10)]
-    second += [row(f"LH-{i}", late, engine_temp_c=1150) for i in range(5)]
-    second += [row(f"TL-{i}", too_late) for i in range(8)]
-    return first, second
+    return phase(FIRST_PHASE), phase(SECOND_PHASE)
 
 
 def test_single_messages(spark, tmp_path):
@@ -56,10 +71,10 @@ def test_single_messages(spark, tmp_path):
 
 
 KINDS = [
-    ("BATCH-LH-%", "late_overheat"),
-    ("BATCH-L-%", "late"),
-    ("BATCH-H-%", "overheat"),
-    ("BATCH-N-%", "normal"),
+    (f"{RUN}hot and behind/%", "late_overheat"),
+    (f"{RUN}behind/%", "late"),
+    (f"{RUN}hot/%", "overheat"),
+    (f"{RUN}sound/%", "normal"),
 ]
 EXPECTED_KINDS = [
     ("late", 10, 0, 10),
@@ -92,7 +107,7 @@ def test_scenario_streamed(spark, tmp_path):
     run.batch(*first)
     run.batch(*second)
     check_scenario(run.table("detail"), run.table("rejected"))
-    own = reports.of_run(run.table("rejected"), "BATCH-", "ACBx")
+    own = reports.of_run(run.table("rejected"), RUN, PLANE)
     assert own.count() == 33
 
 
@@ -146,44 +161,6 @@ def test_recorded_topic_replayed(spark, tmp_path):
     assert replay.detail.count() == 9
 
 
-def test_bulk_mix_replayed(spark):
-    count = 2000
-    sizes = synth.mix_for(count)
-    sent = synth.bulk_mix(spark.range(count).withColumnRenamed("id", "n"), count, "t", F.lit(W))
-    moment = F.timestamp_millis("n")
-    feed = sent.select(
-        F.col("n").alias("arrival_seq"),
-        "event_id", "aircraft_id", "flight_id", "event_time", "altitude_ft", "ground_speed_kts",
-        "engine_temp_c", "fuel_flow_kg_h",
-        *[F.lit(0.0).alias(name) for name in (
-            "latitude", "longitude", "vertical_speed_fpm", "heading_deg", "oil_pressure_psi",
-            "fuel_remaining_kg", "outside_air_temp_c")],
-        F.lit(0).alias("kafka_partition"), F.col("n").alias("kafka_offset"),
-        moment.alias("kafka_timestamp"), moment.alias("proc_time"),
-    )
-    replay = Replay(feed)
-    kinds = reports.kind_report(replay.first, [("BULK-t-H-%", "overheat"), ("BULK-t-N-%", "normal")])
-    assert [(r.kind, r.cnt, r.overheat_true, r.late_true) for r in kinds.collect()] == [
-        ("normal", sizes["normal"], 0, 0),
-        ("overheat", sizes["overheat"], sizes["overheat"], 0),
-    ]
-    reasons = reports.reason_report(replay.rejected).collect()
-    assert {r.reason: r.cnt for r in reasons} == {
-        name: size for name, size in sizes.items() if name not in ("normal", "overheat")
-    }
-
-
-def test_mix_sizes():
-    assert synth.mix_for(100_000) == {
-        "normal": 70_000, "overheat": 15_000, "duplicate": 5_000, "blank_event_id": 2_500,
-        "missing_aircraft_id": 2_500, "missing_event_time": 2_500, "missing_engine_temp": 2_500,
-    }
-    for count in range(20, 200):
-        assert sum(synth.mix_for(count).values()) == count
-    with pytest.raises(ValueError):
-        synth.mix_for(19)
-
-
 def test_no_id_is_lost_or_doubled_over_a_failure(spark, tmp_path):
     """20,000 ids in four batches, the job dying half-way through the third."""
     ids = 20_000

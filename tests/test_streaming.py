@@ -40,8 +40,8 @@ class Run:
         self.job = QualityJob(spark, self.root, rules, self.clock)
 
     def batch(self, *messages, seconds=15, partition=0):
-        self.topic.send(*messages, partition=partition)
         self.clock.forward(seconds)
+        self.topic.send(*messages, partition=partition, when=self.clock.moment())
         if self.streamed:
             drain(self.job, recorded_stream(self.spark, str(self.topic.folder)))
         else:
@@ -82,35 +82,32 @@ def batches(spark, tmp_path):
     return Run(spark, tmp_path, streamed=False)
 
 
+# Seconds of three batches of readings, by what each shows.
+TIMELINE = [
+    {"first": 10, "second": 30, "first again": 10, "fast": 50, "back a little": 47},
+    {"behind": 37, "closing": 70},
+    {"after closing": 55, "too far behind": 5},
+]
+SPEEDS = {"fast": 470, "back a little": 468}
+
+
 def test_timeline(run):
     """On-time, out-of-order, late, closing, post-close and too-late rows."""
-    run.batch(
-        reading("OT1", 10),
-        reading("OT2", 30),
-        reading("OT1", 10),
-        reading("OOH", 50, ground_speed_kts=470),
-        reading("OOL", 47, ground_speed_kts=468),
-    )
-    assert run.minutes() == []
-    run.batch(reading("LATE", 37, altitude_ft=34000), reading("CLOSE", 70))
-    assert run.minutes() == [(0, 5, 1)]
-    run.batch(reading("PC", 55, altitude_ft=34900), reading("TL", 5, altitude_ft=30000))
-
-    assert run.detail() == [
-        ("CLOSE", False),
-        ("LATE", True),
-        ("OOH", False),
-        ("OOL", False),
-        ("OT1", False),
-        ("OT2", False),
-        ("PC", True),
-    ]
-    assert run.rejected() == [("OT1", "duplicate"), ("TL", "too_late")]
-    assert run.minutes() == [(0, 5, 1)]
+    minutes = []
+    for rows in TIMELINE:
+        run.batch(*[
+            reading(name.removesuffix(" again"), second, ground_speed_kts=SPEEDS.get(name, 455))
+            for name, second in rows.items()
+        ])
+        minutes.append(run.minutes())
+    assert minutes == [[], [(0, 5, 1)], [(0, 5, 1)]]
+    late = {"behind", "after closing"}
+    kept = {name for rows in TIMELINE for name in rows} - {"first again", "too far behind"}
+    assert run.detail() == sorted((name, name in late) for name in kept)
+    assert run.rejected() == [("first", "duplicate"), ("too far behind", "too_late")]
     minute = run.table("minutes").first()
     assert minute.max_ground_speed_kts == 470
     assert minute.avg_ground_speed_kts == pytest.approx((455 * 3 + 470 + 468) / 5)
-    assert minute.avg_altitude_ft == pytest.approx((35000 * 4 + 34000) / 5)
 
 
 def test_limits_are_strict(batches):
@@ -192,13 +189,39 @@ def test_failed_batch_repeats_itself(spark, tmp_path, broken):
     assert run.minutes() == [(0, 3, 0)]
 
 
-def test_committed_batch_is_not_repeated(spark, batches):
+def test_committed_batch_is_not_repeated(batches):
     batches.batch(reading("A", 10))
-    other = spark.createDataFrame([("{}", 0, 0, None)], "raw string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp")
-    batches.job.process(other, 0)
+    records = batches.spark.read.schema(TOPIC_RECORD).json(str(batches.topic.folder))
+    batches.job.process(positioned(records), 0)
     assert batches.rejected() == []
-    with pytest.raises(RuntimeError, match="never committed"):
-        batches.job.process(other, 5)
+    with pytest.raises(RuntimeError, match="does not follow"):
+        batches.job.process(positioned(records), 5)
+
+
+@pytest.mark.parametrize("expired", [False, True])
+def test_a_lost_checkpoint_is_an_error(spark, batches, expired):
+    """Batches numbered from 0 again neither overwrite nor vanish."""
+    for name in "ABC":
+        batches.batch(reading(name, 10))
+    if expired:
+        tables.expire_state(spark, batches.root)
+    other = Topic(batches.topic.folder.parent / "other")
+    other.send(reading("D", 11))
+    again = QualityJob(spark, batches.root, batches.rules, batches.clock)
+    records = spark.read.schema(TOPIC_RECORD).json(str(other.folder))
+    for batch_id in (0, 1, 2):
+        with pytest.raises(RuntimeError):
+            again.process(positioned(records), batch_id)
+    assert [row[0] for row in batches.detail()] == ["A", "B", "C"]
+
+
+def test_remembered_ids_are_read_from_few_folders(batches):
+    for place in range(12):
+        batches.batch(reading(f"id {place}", place))
+        recent = batches.job.commit_of(place).recent
+        assert len(recent) == bin(place + 1).count("1")
+    batches.batch(*[reading(f"id {place}", 12) for place in range(12)])
+    assert len(batches.rejected()) == 12
 
 
 def test_slow_idle_and_returning_partitions(batches):

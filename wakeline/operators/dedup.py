@@ -1,90 +1,89 @@
 """First copy of every id within a bounded memory.
 
-A copy is accepted when no copy of its id was accepted less than the memory
-before it; the memory runs from the accepted copy and later copies do not renew
-it. Decisions are made on narrow rows (id, position, time) and joined back by
-position, which is unique, so an id with very many copies never lands in one
-task.
+A copy is accepted when no copy of its id was accepted less than the memory before
+it; the memory runs from the accepted copy and later copies do not renew it. Copies
+count in the order of their time, then position.
+
+There is one path for any number of copies. Copies of one moment are one, so what is
+left of an id within one memory is bounded by the moments in it, however often the id
+was sent. Time is cut into spans as long as the memory: a span holds at most one
+accepted copy, and the first copy after an empty span is always accepted. Between
+those, every copy knows the copy that would be accepted next, and doubling these jumps
+walks all ids at once in a number of joins that is the logarithm of the longest walk.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.settings import Rules, seconds
+from wakeline.settings import Rules
 from wakeline.sources.staging import staged
 
-# Ids with more copies than this are resolved round by round instead of in one array.
-FOLD_ROWS = 4096
-# Largest id table that is broadcast, in rows and in characters of their ids; larger
-# ones are joined with salted keys.
-BROADCAST_IDS = 200_000
-BROADCAST_CHARS = 20_000_000
-SALTS = 32
-
 
-def _join_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Join rows with one row per id, also when one id owns most rows.
+def _spans(moments: DataFrame) -> DataFrame:
+    """Per id and span: its first copy, and whether spans right before and after exist.
 
-    ``ids`` is read from a staged table, so measuring it is cheap.
+    ``_after`` is the first copy of the next span but one. A window over an id has one
+    row per memory of history.
     """
-    size = ids.agg(F.count("_id").alias("rows"), F.sum(F.length("_id")).alias("chars")).first()
-    if size["rows"] <= BROADCAST_IDS and (size["chars"] or 0) <= BROADCAST_CHARS:
-        return rows.join(F.broadcast(ids), "_id")
-    salted = ids.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (
-        rows.withColumn("_salt", F.pmod(F.xxhash64("_seq"), F.lit(SALTS)).cast("int"))
-        .join(salted, ["_id", "_salt"])
-        .drop("_salt")
-    )
-
+    along = Window.partitionBy("_id").orderBy("_span")
+    first = F.min(F.struct("_in", "_seq"))["_seq"]
+    beside = {
+        "_head": F.coalesce(F.lag("_span").over(along) < F.col("_span") - 1, F.lit(True)),
+        "_tail": F.coalesce(F.lead("_span").over(along) > F.col("_span") + 1, F.lit(True)),
+        "_after": F.when(
+            F.lead("_span", 2).over(along) == F.col("_span") + 2, F.lead("_first", 2).over(along)
+        ),
+    }
+    return moments.groupBy("_id", "_span").agg(first.alias("_first")).withColumns(beside)
 
-def _fold(rows: DataFrame, ttl_s: float, limit: int) -> DataFrame:
-    """Later acceptances of ids with at most ``limit`` copies."""
-    copies = F.sort_array(F.collect_list(F.struct("_at", "_seq")))
-    start = F.struct(
-        F.lit(None).cast("timestamp").alias("last"),
-        F.array().cast("array<bigint>").alias("kept"),
-    )
 
-    def step(state, copy):
-        fresh = state["last"].isNull() | (copy["_at"] >= state["last"] + seconds(ttl_s))
-        taken = F.struct(
-            copy["_at"].alias("last"), F.array_append(state["kept"], copy["_seq"]).alias("kept")
-        )
-        return F.when(fresh, taken).otherwise(state)
+def _jumps(moments: DataFrame, spans: DataFrame) -> DataFrame:
+    """For copies with a span beside theirs, the copy accepted next if they are.
 
-    kept = F.aggregate(F.col("copies"), start, step, lambda state: state["kept"])
+    That is the first one at least as far into the next span; failing that, the first
+    one of the span after.
+    """
+    linked = spans.where(~(F.col("_head") & F.col("_tail"))).select("_id", "_span", "_after")
+    copies = moments.join(linked, ["_id", "_span"])
+    both = copies.select(
+        "_id",
+        "_in",
+        "_seq",
+        "_after",
+        F.explode(F.array(F.lit(False), F.lit(True))).alias("_asks"),
+        "_span",
+    ).withColumn("_meets", F.col("_span") + F.col("_asks").cast("int"))
+    # From the end of the span back to its start, so one pass carries the answer.
+    back = Window.partitionBy("_id", "_meets").orderBy(F.desc("_in"), "_asks")
+    answer = F.last(F.when(~F.col("_asks"), F.col("_seq")), ignorenulls=True).over(
+        back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     return (
-        rows.groupBy("_id")
-        .agg(copies.alias("copies"))
-        .select(F.explode(F.slice(kept, 2, limit)).alias("_seq"))
+        both.withColumn("_next", F.coalesce(answer, "_after"))
+        .where(F.col("_asks") & F.col("_next").isNotNull())
+        .select("_seq", "_next")
     )
 
 
-def _rounds(rows: DataFrame, ids: DataFrame, ttl_s: float) -> list[DataFrame]:
-    """Later acceptances of ids with many copies: one per id and round."""
-    accepted = []
-    last = ids.select("_id", F.col("_first_at").alias("_last_at"))
-    left = rows
-    while True:
-        left = staged(
-            _join_ids(left, last)
-            .where(F.col("_at") >= F.col("_last_at") + seconds(ttl_s))
-            .drop("_last_at"),
-            "dedup-left",
-        )
-        step = staged(
-            left.groupBy("_id").agg(F.min("_seq").alias("_seq"), F.min("_at").alias("_last_at")),
-            "dedup-step",
-        )
-        if step.isEmpty():
-            return accepted
-        accepted.append(step.select("_seq"))
-        last = step.select("_id", "_last_at")
+def _walk(heads: DataFrame, jumps: DataFrame) -> DataFrame:
+    """All copies reached from ``heads`` by any number of jumps."""
+    doubled = [staged(jumps, "dedup-jumps")]
+    while not doubled[-1].isEmpty():
+        once = doubled[-1]
+        then = once.select(F.col("_seq").alias("_next"), F.col("_next").alias("_far"))
+        twice = once.join(then, "_next").select("_seq", F.col("_far").alias("_next"))
+        doubled.append(staged(twice, "dedup-jumps"))
+    reached = heads
+    for jump in reversed(doubled[:-1]):
+        both = F.array_compact(F.array("_seq", "_next"))
+        reached = reached.join(jump, "_seq", "left").select(F.explode(both).alias("_seq"))
+    return reached
+
+
+def _micros(time: str) -> Column:
+    return F.unix_micros(F.col(time))
 
 
 def accepted_positions(
@@ -93,46 +92,22 @@ def accepted_positions(
     order: str = "arrival_seq",
     time: str = "proc_time",
     rules: Rules = Rules(),
-    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """Positions of the accepted copies, one column named like ``order``.
 
-    ``order`` is a unique integer and ``time`` never falls along it.
+    ``order`` is unique over all ids and may be a struct; ``time`` is not NULL.
     """
-    ttl_s = rules.dedup_ttl_s
-    rows = clean.select(
-        F.col(id_col).alias("_id"), F.col(order).alias("_seq"), F.col(time).alias("_at")
-    )
-    per_id = staged(
-        rows.groupBy("_id").agg(
-            F.min("_seq").alias("_seq"),
-            F.max("_seq").alias("_last_seq"),
-            F.min("_at").alias("_first_at"),
-            F.max("_at").alias("_last_at"),
-            F.count(F.lit(1)).alias("_copies"),
-        ),
-        "dedup-ids",
+    memory = F.lit(int(rules.dedup_ttl_s * 1_000_000)).cast("long")
+    moments = staged(
+        clean.groupBy(F.col(id_col).alias("_id"), _micros(time).alias("_at"))
+        .agg(F.min(order).alias("_seq"))
+        .withColumn("_in", F.pmod("_at", memory))
+        .select("_id", "_seq", "_in", ((F.col("_at") - F.col("_in")) / memory).cast("long").alias("_span")),
+        "dedup-moments",
     )
-    parts = [per_id.select("_seq")]
-
-    # Only ids whose copies span the memory can be accepted twice. With two copies
-    # those are the first and the last; with more, the copies have to be looked at.
-    spanning = per_id.where(F.col("_last_at") >= F.col("_first_at") + seconds(ttl_s))
-    copies, most = F.col("_copies"), max(fold_rows, 2)
-    two, few, many = copies == 2, copies.between(3, most), copies > most
-    found = spanning.agg(
-        F.count_if(two).alias("two"), F.count_if(few).alias("few"), F.count_if(many).alias("many")
-    ).first()
-    if found["two"]:
-        parts.append(spanning.where(two).select(F.col("_last_seq").alias("_seq")))
-    if found["few"]:
-        few_ids = spanning.where(few).select("_id")
-        parts.append(_fold(_join_ids(rows, few_ids), ttl_s, most))
-    if found["many"]:
-        many_ids = spanning.where(many).select("_id", "_first_at")
-        many_rows = _join_ids(rows, many_ids.select("_id"))
-        parts += _rounds(many_rows, many_ids, ttl_s)
-    return reduce(DataFrame.unionByName, parts).withColumnRenamed("_seq", order)
+    spans = staged(_spans(moments), "dedup-spans")
+    heads = spans.where("_head").select(F.col("_first").alias("_seq"))
+    return _walk(heads, _jumps(moments, spans)).withColumnRenamed("_seq", order)
 
 
 def mark_first(rows: DataFrame, accepted: DataFrame, order: str = "arrival_seq") -> DataFrame:

@@ -11,9 +11,8 @@ from wakeline.functions import rules as R
 from wakeline.functions.timetext import iso_ms, parse_iso
 from wakeline.operators import balance, reconcile, reports
 from wakeline.operators.eventtime import with_watermark_column
-from wakeline.plans import synth
 from wakeline.plans.replay import Replay, clean_records, rejected_columns
-from wakeline.sources.feed import START_S, feed, read_events, wire_feed, with_offsets
+from wakeline.sources.feed import feed, wire_feed, with_offsets
 from wakeline.sources.staging import staged
 from wakeline.sources.wire import PAYLOAD, decode, parse, publish_records
 
@@ -30,30 +29,12 @@ KINDS = (
 )
 FLIGHT = "AC-7-click"
 PREFIXES = ("E-9", "E-47")
-TOKEN = "a1b2c3"
 
 
 def _replay(spark: SparkSession, sf_dir: str) -> Replay:
     return Replay(feed(spark, sf_dir))
 
 
-def _start():
-    return F.timestamp_seconds(F.lit(START_S))
-
-
-def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_events(spark, sf_dir).withColumnRenamed("event_id", "n")
-
-
-def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per event: a fleet of 50 aircraft flying legs one after another."""
-    rows = _numbered(spark, sf_dir).select(
-        "n", F.concat(F.lit("AC-"), (F.col("user_id") % 50).cast("string")).alias("aircraft_id")
-    )
-    number = F.substring_index("aircraft_id", "-", -1).cast("int")
-    return synth.flight_profile(synth.flown(synth.on_route(rows, number), "n", _start()))
-
-
 # Sources, decode and the three tables
 
 
@@ -209,7 +190,13 @@ def job_counters(spark, sf_dir):
 
 
 def feed_counters(spark, sf_dir):
-    return reports.feed_counters(anomaly_feed(spark, sf_dir))
+    """Per aircraft, what its arrivals were: copies, behind the newest reading, overheated."""
+    rows = _replay(spark, sf_dir).tagged
+    behind = F.nullif(R.lateness_class(F.col("watermark")), F.lit("on_time"))
+    kind = F.when(F.col("copy") > 0, R.DUPLICATE).otherwise(behind)
+    hot = F.when(F.col("overheat"), F.lit("overheat"))
+    anomaly = F.nullif(F.concat_ws("+", kind, hot), F.lit(""))
+    return reports.feed_counters(rows.withColumn("anomaly", anomaly))
 
 
 def latest_rows(spark, sf_dir):
@@ -253,7 +240,7 @@ def subtask_skew(spark, sf_dir):
 
 
 def hot_key(spark, sf_dir):
-    return balance.hottest_key(skew_plan(spark, sf_dir))
+    return balance.hottest_key(feed(spark, sf_dir))
 
 
 def offset_progress(spark, sf_dir):
@@ -265,33 +252,6 @@ def throughput(spark, sf_dir):
     return reports.throughput(feed(spark, sf_dir))
 
 
-# Synthesis
-
-
-def flight_profile(spark, sf_dir):
-    rows = _flights(spark, sf_dir)
-    return rows.drop("origin_lat", "origin_lon", "dest_lat", "dest_lon")
-
-
-def profile_checks(spark, sf_dir):
-    return synth.profile_checks(_flights(spark, sf_dir))
-
-
-def anomaly_feed(spark, sf_dir):
-    return synth.anomaly_feed(_flights(spark, sf_dir))
-
-
-def bulk_mix(spark, sf_dir):
-    rows = _numbered(spark, sf_dir).select("n")
-    stamp = F.timestamp_seconds(F.lit(START_S + 120))
-    return synth.bulk_mix(rows, rows.count(), TOKEN, stamp)
-
-
-def skew_plan(spark, sf_dir):
-    rows = _numbered(spark, sf_dir).select("n")
-    return synth.skew_plan(rows, rows.count())
-
-
 QUERIES: dict[str, Query] = {
     "minute_agg": minute_agg,
     "detail_rows": detail_rows,
@@ -328,9 +288,4 @@ QUERIES: dict[str, Query] = {
     "hot_key": hot_key,
     "offset_progress": offset_progress,
     "throughput": throughput,
-    "flight_profile": flight_profile,
-    "profile_checks": profile_checks,
-    "anomaly_feed": anomaly_feed,
-    "bulk_mix": bulk_mix,
-    "skew_plan": skew_plan,
 }

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from wakeline.plans.catalog import FLIGHT, KINDS, PREFIXES, TOKEN
-from wakeline.plans.synth import (
-    BULK_KINDS,
-    FLIGHT_S,
-    FUEL_START_KG,
-    PHASES,
-    ROUTES,
-    ROUTING_KEYS,
-)
 from wakeline.schema import CLEAN_RECORD, DETAIL, MINUTE, REJECTED, SENSORS
 from wakeline.sources.wire import PAYLOAD
 
+# Kinds and look-ups of the reports, stated here again so that a wrong one shows.
+KINDS = (
+    ("E-%33", "edge"),
+    ("E-%13", "late"),
+    ("E-%53", "late"),
+    ("E-%73", "late"),
+    ("E-%091", "replayed"),
+    ("E-%1", "copied"),
+)
+FLIGHT = "AC-7-click"
+PREFIXES = ("E-9", "E-47")
+
 FEED = """
 base AS (
   SELECT event_id AS n, event_id % 100 AS k, user_id, event_type, value,
@@ -149,178 +152,6 @@ def _kinds() -> str:
     return f"CASE {cases} ELSE 'other' END"
 
 
-# Flights
-
-
-def _phase_rows() -> str:
-    rows, start, burnt, share = [], 0, 0.0, 0.0
-    for number, (name, duration, *rest) in enumerate(PHASES, 1):
-        values = [number, f"'{name}'", start, duration, *rest, burnt, share]
-        rows.append("(" + ", ".join(str(value) for value in values) + ")")
-        start, burnt, share = start + duration, burnt + rest[4] * duration / 3600, share + rest[6]
-    return ", ".join(rows)
-
-
-def _route_rows() -> str:
-    return ", ".join(
-        f"({i}, {a}, {b}, {c}, {d})" for i, ((a, b), (c, d)) in enumerate(ROUTES.values())
-    )
-
-
-def _half_up(sql: str, digits: int) -> str:
-    scale = f"1e{digits}"
-    return f"floor(({sql}) * {scale} + 0.5) / {scale}"
-
-
-FLIGHTS = f"""
-phases(number, phase, start_s, length_s, alt0, alt1, gs0, gs1, flow, temp, share, burnt, before)
-  AS (SELECT number, phase, start_s::DOUBLE, length_s::DOUBLE, alt0::DOUBLE, alt1::DOUBLE,
-        gs0::DOUBLE, gs1::DOUBLE, flow::DOUBLE, temp::DOUBLE, share::DOUBLE, burnt::DOUBLE,
-        before::DOUBLE
-      FROM (VALUES {_phase_rows()})
-      v(number, phase, start_s, length_s, alt0, alt1, gs0, gs1, flow, temp, share, burnt, before)),
-routes AS (SELECT r, a::DOUBLE AS origin_lat, b::DOUBLE AS origin_lon, c::DOUBLE AS dest_lat,
-             d::DOUBLE AS dest_lon
-           FROM (VALUES {_route_rows()}) v(r, a, b, c, d)),
-readings AS (
-  SELECT e.event_id AS n, 'AC-' || (user_id % 50) AS aircraft_id,
-    e.event_id // {FLIGHT_S} + 1 AS leg, e.event_id % {FLIGHT_S} AS elapsed_s,
-    TIMESTAMP '2024-01-01' + to_seconds(e.event_id) AS event_time, r.*
-  FROM events e JOIN routes r ON r.r = (user_id % 50) % {len(ROUTES)}
-),
-placed AS (
-  SELECT x.*, p.*, (elapsed_s - start_s) / length_s AS inside,
-    least(before + share * ((elapsed_s - start_s) / length_s), 1.0) AS route
-  FROM readings x JOIN phases p
-    ON (elapsed_s > start_s OR number = 1) AND elapsed_s <= start_s + length_s
-),
-moved AS (
-  SELECT *, alt0 + (alt1 - alt0) * inside AS altitude,
-    origin_lat + (dest_lat - origin_lat) * route AS lat,
-    origin_lon + (dest_lon - origin_lon) * route AS lon
-  FROM placed
-),
-turned AS (
-  SELECT *, degrees(atan2(
-      sin(radians(dest_lon - lon)) * cos(radians(dest_lat)),
-      cos(radians(lat)) * sin(radians(dest_lat))
-        - sin(radians(lat)) * cos(radians(dest_lat)) * cos(radians(dest_lon - lon)))) AS course
-  FROM moved
-),
-flights AS (
-  SELECT n, aircraft_id, leg, elapsed_s, event_time,
-    aircraft_id || '-' ||
-      strftime(TIMESTAMP '2024-01-01' + to_seconds((leg - 1) * {FLIGHT_S}), '%Y%m%d')
-      || '-' || lpad(leg::VARCHAR, greatest(2, length(leg::VARCHAR))::INTEGER, '0') AS flight_id,
-    phase, {_half_up('lat', 5)} AS latitude, {_half_up('lon', 5)} AS longitude,
-    {_half_up('altitude', 1)} AS altitude_ft,
-    {_half_up('gs0 + (gs1 - gs0) * inside', 1)} AS ground_speed_kts,
-    {_half_up('(alt1 - alt0) / length_s * 60', 1)} AS vertical_speed_fpm,
-    {_half_up('CASE WHEN course < 0 THEN course + 360 ELSE course END', 1)} AS heading_deg,
-    temp AS engine_temp_c, {_half_up('62.0 - altitude / 35000 * 8', 1)} AS oil_pressure_psi,
-    flow AS fuel_flow_kg_h,
-    {_half_up(
-        f"greatest({FUEL_START_KG}::DOUBLE - (burnt + flow * ((elapsed_s - start_s) / 3600)), 0.0)",
-        1,
-    )} AS fuel_remaining_kg,
-    {_half_up('15.0 - altitude / 1000 * 1.98', 1)} AS outside_air_temp_c,
-    dest_lat
-  FROM turned
-)"""
-
-
-def _draw(place: int) -> str:
-    text = "md5(n::VARCHAR || '-7')"
-    return f"('0x' || substr({text}, {6 * place + 1}, 6))::BIGINT / 16777216.0::DOUBLE"
-
-
-# A repeat takes the aircraft's last message that was no repeat itself.
-ANOMALIES = f"""
-drawn AS (
-  SELECT *, {_draw(0)} AS roll, {_draw(1)} AS kind, {_draw(2)} AS amount,
-    {_draw(3)} AS hot_roll, {_draw(4)} AS heat,
-    row_number() OVER (PARTITION BY aircraft_id ORDER BY n) = 1 AS starts
-  FROM flights
-),
-typed AS (
-  SELECT *, roll < 0.05 AND NOT starts AS odd, hot_roll < 0.03 AS hot FROM drawn
-),
-own AS (
-  SELECT n, aircraft_id, odd AND kind < 0.4 AS repeats, flight_id, altitude_ft,
-    ground_speed_kts, fuel_remaining_kg, hot,
-    CASE WHEN odd AND kind >= 0.4 THEN 'X-' ELSE 'M-' END || n AS event_id,
-    event_time - to_milliseconds(CASE WHEN NOT odd OR kind < 0.4 THEN 0
-      WHEN kind < 0.6 THEN floor(2000 + 2000 * amount)
-      WHEN kind < 0.9 THEN floor(8000 + 6000 * amount) ELSE 60000 END) AS event_time,
-    CASE WHEN hot THEN {_half_up('1050 + 150 * heat', 1)} ELSE engine_temp_c END AS engine_temp_c,
-    CASE WHEN hot THEN 3600.0 ELSE fuel_flow_kg_h END AS fuel_flow_kg_h,
-    CASE WHEN NOT odd OR kind < 0.4 THEN NULL WHEN kind < 0.6 THEN 'out_of_order'
-      WHEN kind < 0.9 THEN 'late' ELSE 'too_late' END AS shift
-  FROM typed
-),
-sources AS (
-  SELECT *, max(CASE WHEN NOT repeats THEN n END) OVER (
-    PARTITION BY aircraft_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS source
-  FROM own
-),
-sent AS (
-  SELECT s.n, s.aircraft_id, o.event_id, o.flight_id, o.event_time, o.altitude_ft,
-    o.ground_speed_kts, o.fuel_remaining_kg, o.engine_temp_c, o.fuel_flow_kg_h,
-    CASE WHEN s.repeats THEN 'duplicate'
-      ELSE nullif(concat_ws('+', o.shift, CASE WHEN o.hot THEN 'overheat' END), '') END AS anomaly
-  FROM sources s JOIN own o ON o.n = s.source
-)"""
-
-
-def _bulk() -> str:
-    cumulative, cases = "0", []
-    shares = {"normal": "total * 70 // 100", "overheat": "total * 15 // 100"}
-    rest = "(total - total * 70 // 100 - total * 15 // 100 - total * 5 // 100)"
-    for index, name in enumerate(kind[0] for kind in BULK_KINDS[2:6]):
-        shares[name] = f"({rest} // 4 + CASE WHEN {index} < {rest} % 4 THEN 1 ELSE 0 END)"
-    shares["duplicate"] = "total * 5 // 100"
-    for name, part, altitude, speed, temp, flow in BULK_KINDS:
-        cases.append(
-            f"('{name}', '{part}', {altitude}, {speed}, {'NULL' if temp is None else temp}, {flow},"
-            f" {cumulative}, {cumulative} + {shares[name]})"
-        )
-        cumulative = f"{cumulative} + {shares[name]}"
-    keys = ", ".join(f"'{key}'" for key in ROUTING_KEYS)
-    return f"""
-WITH kinds AS (
-  SELECT v.* FROM (SELECT count(*) AS total FROM events) t, LATERAL (VALUES {', '.join(cases)})
-    v(kind, part, altitude, speed, temp, flow, lo, hi)
-)
-SELECT event_id AS n, kind, ([{keys}])[((event_id - lo) % 3 + 1)::INTEGER] AS routing_key,
-  CASE WHEN kind = 'blank_event_id' THEN ''
-    ELSE 'BULK-{TOKEN}-' || part || '-' || lpad((event_id - lo)::VARCHAR,
-      greatest(6, length((event_id - lo)::VARCHAR))::INTEGER, '0') END AS event_id,
-  CASE WHEN kind <> 'missing_aircraft_id' THEN 'ACB{TOKEN}' END AS aircraft_id,
-  'ACB{TOKEN}-LEG01' AS flight_id,
-  CASE WHEN kind <> 'missing_event_time' THEN TIMESTAMP '2024-01-01 00:02:00' END AS event_time,
-  altitude::DOUBLE AS altitude_ft, speed::DOUBLE AS ground_speed_kts,
-  temp::DOUBLE AS engine_temp_c, flow::DOUBLE AS fuel_flow_kg_h
-FROM events JOIN kinds ON event_id >= lo AND event_id < hi"""
-
-
-SKEW = """
-sizes AS (
-  SELECT count(*) AS total, count(*) * 40 // 100 AS hot,
-    (count(*) - count(*) * 40 // 100) // 99 AS base,
-    (count(*) - count(*) * 40 // 100) % 99 AS longer
-  FROM events
-),
-plan AS (
-  SELECT event_id AS n,
-    'SKEW-' || lpad(event_id::VARCHAR, greatest(6, length(event_id::VARCHAR))::INTEGER, '0')
-      AS event_id,
-    'AC-S' || lpad((CASE WHEN event_id < hot THEN 0
-      WHEN event_id - hot < longer * (base + 1) THEN (event_id - hot) // (base + 1) + 1
-      ELSE (event_id - hot - longer * (base + 1)) // base + longer + 1 END)::VARCHAR, 2, '0')
-      AS aircraft_id
-  FROM events, sizes
-)"""
-
 _LATE_DROP = "coalesce(reason LIKE '%too_late%', FALSE)"
 
 ORACLES: dict[str, str] = {
@@ -424,14 +255,16 @@ SELECT (SELECT count(*) FROM feed) AS ingested,
   count(*) FILTER (WHERE reason IS NULL AND overheat) AS overheat_kept,
   count(*) FILTER (WHERE reason IS NULL) AS written
 FROM marked""",
-    "feed_counters": f"""WITH {FLIGHTS},{ANOMALIES}
+    "feed_counters": _over_tagged(
+        """, told AS (SELECT aircraft_id, copy, overheat,
+  copy = 0 AND coalesce(event_time < watermark + INTERVAL 5 SECOND, FALSE) AS behind FROM tagged)
 SELECT aircraft_id, count(*) AS total,
-  count(*) FILTER (WHERE coalesce(anomaly, 'overheat') = 'overheat') AS normal,
-  count(*) FILTER (WHERE anomaly LIKE 'late%' OR anomaly LIKE 'out_of%' OR anomaly LIKE 'too_%')
-    AS late,
-  count(*) FILTER (WHERE anomaly = 'duplicate') AS duplicate,
-  count(*) FILTER (WHERE anomaly LIKE '%overheat') AS overheat
-FROM sent GROUP BY aircraft_id""",
+  count(*) FILTER (WHERE copy = 0 AND NOT behind) AS normal,
+  count(*) FILTER (WHERE behind) AS late,
+  count(*) FILTER (WHERE copy > 0 AND NOT overheat) AS duplicate,
+  count(*) FILTER (WHERE overheat) AS overheat
+FROM told GROUP BY aircraft_id"""
+    ),
     "latest_rows": _over_replay(
         f"""SELECT {_list(DETAIL.fieldNames())} FROM (SELECT *, proc_time AS ingest_time FROM first)
 ORDER BY ingest_time DESC, event_id LIMIT 20"""
@@ -469,10 +302,11 @@ FROM feed GROUP BY kafka_partition"""
   max(count(*)) OVER () / sum(count(*)) OVER () AS busiest_share
 FROM feed GROUP BY 1"""
     ),
-    "hot_key": f"""WITH {SKEW}
-SELECT aircraft_id, count(*) AS rows, (SELECT count(*) FROM plan) AS total,
-  count(*) / (SELECT count(*) FROM plan) AS share
-FROM plan GROUP BY aircraft_id ORDER BY rows DESC, aircraft_id DESC LIMIT 1""",
+    "hot_key": _over_feed(
+        """SELECT aircraft_id, count(*) AS rows, (SELECT count(*) FROM feed) AS total,
+  count(*) / (SELECT count(*) FROM feed) AS share
+FROM feed GROUP BY aircraft_id ORDER BY rows DESC, aircraft_id DESC NULLS LAST LIMIT 1"""
+    ),
     "offset_progress": _over_feed(
         """, numbered AS (SELECT kafka_partition, row_number() OVER (PARTITION BY kafka_partition
   ORDER BY arrival_seq) - 1 AS o FROM feed)
@@ -485,26 +319,4 @@ FROM numbered GROUP BY kafka_partition"""
   (epoch_ms(max(proc_time)) - epoch_ms(min(proc_time))) / 1000.0::DOUBLE AS elapsed_s FROM feed)
 SELECT rows, elapsed_s, rows / elapsed_s AS rows_per_s FROM t"""
     ),
-    "flight_profile": f"WITH {FLIGHTS}\nSELECT * EXCLUDE (dest_lat) FROM flights",
-    "profile_checks": f"""WITH {FLIGHTS},
-before AS (
-  SELECT *, abs(dest_lat - latitude) AS to_go,
-    lag(phase) OVER w AS phase0, lag(altitude_ft) OVER w AS altitude0,
-    lag(fuel_remaining_kg) OVER w AS fuel0, lag(abs(dest_lat - latitude)) OVER w AS to_go0
-  FROM flights WINDOW w AS (PARTITION BY flight_id ORDER BY n)
-)
-SELECT aircraft_id, count(*) AS readings,
-  count(*) FILTER (WHERE fuel_remaining_kg >= fuel0) AS fuel_not_falling,
-  count(*) FILTER (WHERE phase IN ('takeoff', 'climb') AND vertical_speed_fpm <= 0)
-    AS climb_not_positive,
-  count(*) FILTER (WHERE phase = 'cruise' AND abs(vertical_speed_fpm) >= 1) AS cruise_not_level,
-  count(*) FILTER (WHERE phase IN ('descent', 'approach', 'landing') AND vertical_speed_fpm >= 0)
-    AS descent_not_negative,
-  count(*) FILTER (WHERE phase = phase0 AND (altitude_ft - altitude0) * vertical_speed_fpm < 0)
-    AS height_against_speed,
-  count(*) FILTER (WHERE to_go > to_go0) AS not_advancing
-FROM before GROUP BY aircraft_id""",
-    "anomaly_feed": f"WITH {FLIGHTS},{ANOMALIES}\nSELECT * FROM sent",
-    "bulk_mix": _bulk(),
-    "skew_plan": f"WITH {SKEW}\nSELECT * FROM plan",
 }

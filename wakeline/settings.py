@@ -17,6 +17,7 @@ class Rules:
     temp_limit_c: float = 1000
     dedup_ttl_s: float = 3600
     idle_s: float = 10
+    slice_ms: int = 200
     minute: str = "1 minute"
 
 

@@ -5,12 +5,32 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.sources import storage
 
 
+# Folders staged by the work that will drop them, if there is such.
+_OWNED: ContextVar[list[str] | None] = ContextVar("staged folders", default=None)
+
+
+@contextmanager
+def dropped_after(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is staged inside. Nothing staged may be read later."""
+    paths: list[str] = []
+    before = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(before)
+        for path in paths:
+            storage.delete(spark, path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -41,6 +61,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,14 +1,19 @@
 """The streaming job: one micro-batch query writing three tables.
 
 Every batch writes under ``batch_id=<id>`` and counts only once its commit is
-written, so a batch that failed half-way is repeated over its own remains.
-Rows are judged by the watermark that earlier batches left behind.
+written, so a batch that failed half-way is repeated over its own remains. A commit
+keeps a fingerprint of its messages: a batch that comes again with others, as after
+the loss of a checkpoint, is an error, and no committed batch is overwritten.
+
+Rows are judged in arrival order, inside a batch as well, so the tables do not depend
+on how messages fall into batches. A message arrives when the topic took it; messages
+without that time arrive with their batch.
 
 Layout below the job's folder::
 
     detail, rejected, minutes      results, one folder per batch
-    state/accepted                 ids accepted by the batch and their position
-    state/sources                  newest event time and activity per partition
+    state/accepted                 ids accepted by the batch, and by batches merged into it
+    state/sources                  newest event time per partition
     state/open_minutes             parts of minutes not closed yet
     begun, commits                 time of the batch; watermark after it
 """
@@ -26,7 +31,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.functions import rules as R
-from wakeline.operators.arrivals import SOURCES, combined_watermark, seen_sources
+from wakeline.operators.arrivals import (
+    SOURCES,
+    reached_watermark,
+    seen_sources,
+    with_arrival_watermark,
+)
+from wakeline.operators.dedup import accepted_positions
 from wakeline.operators.minutes import (
     counted,
     finish_partials,
@@ -35,8 +46,9 @@ from wakeline.operators.minutes import (
 )
 from wakeline.operators.reports import stage_counters
 from wakeline.plans.replay import detail_columns, rejected_columns
-from wakeline.settings import Rules
+from wakeline.settings import Rules, seconds
 from wakeline.sources import storage
+from wakeline.sources.staging import dropped_after
 from wakeline.sources.wire import parse
 
 ACCEPTED = T.StructType(
@@ -44,13 +56,17 @@ ACCEPTED = T.StructType(
         T.StructField("event_id", T.StringType()),
         T.StructField("kafka_partition", T.IntegerType()),
         T.StructField("kafka_offset", T.LongType()),
+        T.StructField("accepted_at", T.TimestampType()),
+        T.StructField("by_batch", T.LongType()),
     ]
 )
 # Times of the job itself are epoch milliseconds, which no session zone touches.
 BEGUN = "at_ms BIGINT"
-# ``recent`` lists the batches whose accepted ids are still remembered.
+# ``recent`` lists the folders of accepted ids still remembered. Two of one level are
+# merged into the next batch's, so their number is the logarithm of that of the batches.
 COMMIT = (
-    "watermark_ms BIGINT, recent ARRAY<STRUCT<batch_id: BIGINT, at_ms: BIGINT>>, "
+    "watermark_ms BIGINT, recent ARRAY<STRUCT<batch_id: BIGINT, at_ms: BIGINT, level: INT>>, "
+    "fingerprint BIGINT, "
     "ingested BIGINT, parse_failed BIGINT, decoded BIGINT, late_dropped BIGINT, "
     "late_accepted BIGINT, dedup_dropped BIGINT, defect_dropped BIGINT, "
     "overheat_kept BIGINT, written BIGINT"
@@ -109,76 +125,143 @@ class QualityJob:
         return self._read("commits", COMMIT, batch_id).first()
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        """One micro-batch; call it again with the same id and it repeats itself."""
-        if self.commit_of(batch_id):
+        """One micro-batch; call it again with the same id and messages and nothing changes."""
+        done = self.commit_of(batch_id)
+        if done:
+            print_of = self._positioned(messages, 0).agg(self._fingerprint()).first()[0]
+            if print_of != done["fingerprint"]:
+                raise RuntimeError(
+                    f"batch {batch_id} was committed in {self.root} with other messages; "
+                    "the checkpoint there is not the one that made it"
+                )
             return
         before = self.commit_of(batch_id - 1)
-        if before is None and batch_id > 0:
+        if before is None:
+            self._refuse_other_batches(batch_id)
+        with dropped_after(self.spark):
+            self._process(messages, batch_id, before)
+
+    def _refuse_other_batches(self, batch_id: int) -> None:
+        """Without a commit right before it, a batch must be the first of an empty job."""
+        for other in storage.numbered(self.spark, f"{self.root}/commits", "batch_id"):
+            if self.commit_of(other):
+                raise RuntimeError(
+                    f"{self.root} holds batch {other}: batch {batch_id} does not follow it"
+                )
+        if batch_id > 0:
             raise RuntimeError(f"batch {batch_id - 1} was never committed in {self.root}")
+
+    def _process(self, messages: DataFrame, batch_id: int, before) -> None:
         at = self._begin(batch_id)
         watermark = before["watermark_ms"] if before else None
-        remembered = [
-            (past["batch_id"], past["at_ms"])
-            for past in (before["recent"] if before else [])
-            if at < past["at_ms"] + self.rules.dedup_ttl_s * 1000
-        ]
+        earlier = self._read("state/sources", SOURCES, batch_id - 1) if before else None
 
-        parsed = self._tagged(messages, at, watermark).persist()
-        rows = parsed.where("is_object")
-        self._accept(rows, [past for past, _ in remembered], batch_id)
-        mine = self._read("state/accepted", ACCEPTED, batch_id)
-        marked = self._marked(rows, mine).persist()
+        parsed = parse(self._positioned(messages, at)).persist()
+        tagged = self._tagged(parsed.where("is_object"), earlier, watermark).persist()
         try:
-            self._write_results(marked, batch_id)
-            reached = self._advance(marked, at, watermark, batch_id)
-            self._close_minutes(marked, watermark, reached, batch_id)
-            counters = stage_counters(marked).first().asDict()
-            ingested = parsed.count()
+            came = parsed.agg(
+                F.count(F.lit(1)).alias("ingested"),
+                self._fingerprint().alias("fingerprint"),
+                F.unix_millis(F.min("proc_time")).alias("first_ms"),
+                F.unix_millis(F.max("proc_time")).alias("last_ms"),
+            ).first()
+            recent = self._accept(tagged, before["recent"] if before else [], came, batch_id)
+            mine = self._read("state/accepted", ACCEPTED, batch_id).where(
+                F.col("by_batch") == batch_id
+            )
+            marked = self._marked(tagged, mine).persist()
+            try:
+                self._write_results(marked, batch_id)
+                reached = self._advance(marked, earlier, watermark, batch_id)
+                self._close_minutes(marked, reached, batch_id)
+                counters = stage_counters(marked).first().asDict()
+            finally:
+                marked.unpersist()
         finally:
-            marked.unpersist()
+            tagged.unpersist()
             parsed.unpersist()
 
         commit = {
             "watermark_ms": reached,
-            "recent": [
-                {"batch_id": past, "at_ms": moment}
-                for past, moment in [*remembered, (batch_id, at)]
-            ],
-            "ingested": ingested,
-            "parse_failed": ingested - counters["decoded"],
+            "recent": recent,
+            "fingerprint": came["fingerprint"],
+            "ingested": came["ingested"],
+            "parse_failed": came["ingested"] - counters["decoded"],
             **counters,
         }
         row = self._one_row().select(F.from_json(F.lit(json.dumps(commit)), COMMIT).alias("c"))
         self._write(row.select("c.*"), "commits", batch_id)
 
-    def _tagged(self, messages: DataFrame, at: int, watermark: int | None) -> DataFrame:
+    def _positioned(self, messages: DataFrame, at: int) -> DataFrame:
+        print_of = F.pmod(F.xxhash64(*messages.columns), F.lit(1 << 31))
+        rows = messages.withColumn("_print", print_of)
         if "kafka_offset" not in messages.columns:
-            messages = messages.select(
+            rows = rows.select(
                 "*",
                 F.lit(0).alias("kafka_partition"),
                 F.monotonically_increasing_id().alias("kafka_offset"),
                 _moment(at).alias("kafka_timestamp"),
             )
-        parsed = parse(messages).withColumns(
-            {"proc_time": _moment(at), "watermark": _moment(watermark)}
-        )
-        return R.tag(parsed, F.col("watermark"), self.rules)
+        return rows.withColumn("proc_time", F.coalesce("kafka_timestamp", _moment(at)))
 
-    def _accept(self, rows: DataFrame, remembered: list[int], batch_id: int) -> None:
-        """Write the first copy of every id not remembered from earlier batches.
+    def _fingerprint(self) -> Column:
+        """One number for the texts and positions of a batch, in any order."""
+        return F.coalesce(F.sum("_print"), F.lit(0))
 
-        Copies are reduced to one row per id before ids are compared.
+    def _tagged(
+        self, rows: DataFrame, earlier: DataFrame | None, watermark: int | None
+    ) -> DataFrame:
+        seen = with_arrival_watermark(rows, earlier, _moment(watermark), self.rules)
+        return R.tag(seen, F.col("watermark"), self.rules)
+
+    def _accept(self, rows: DataFrame, recent: list, came, batch_id: int) -> list[dict]:
+        """Write the copies to accept; returns the folders of ids remembered from now on.
+
+        Copies of one moment are made one before ids are compared, so an id sent very
+        often is no hot key.
         """
+        memory_ms = int(self.rules.dedup_ttl_s * 1000)
+        remembered = [
+            past.asDict()
+            for past in recent
+            if came["first_ms"] is None or came["first_ms"] < past["at_ms"] + memory_ms
+        ]
         fresh = (
             rows.where(F.col("reject_reason").isNull())
-            .groupBy("event_id")
-            .agg(F.min(F.struct(*POSITION)).alias("at"))
-            .select("event_id", "at.*")
+            .groupBy("event_id", "proc_time")
+            .agg(F.min(F.struct(*POSITION)).alias("position"))
         )
         if remembered:
-            known = self._read("state/accepted", ACCEPTED, *remembered).select("event_id")
-            fresh = fresh.join(known, "event_id", "left_anti")
-        self._write(fresh, "state/accepted", batch_id)
+            known = self._read(
+                "state/accepted", ACCEPTED, *[past["batch_id"] for past in remembered]
+            )
+            until = F.max("accepted_at") + seconds(self.rules.dedup_ttl_s)
+            fresh = (
+                fresh.join(known.groupBy("event_id").agg(until.alias("until")), "event_id", "left")
+                .where(F.col("until").isNull() | (F.col("proc_time") >= F.col("until")))
+                .drop("until")
+            )
+        chosen = accepted_positions(fresh, order="position", rules=self.rules)
+        accepted = fresh.join(chosen, "position", "left_semi").select(
+            "event_id",
+            "position.*",
+            F.col("proc_time").alias("accepted_at"),
+            F.lit(batch_id).cast("long").alias("by_batch"),
+        )
+        newest, level = came["last_ms"], 0
+        while remembered and remembered[-1]["level"] == level:
+            past, level = remembered.pop(), level + 1
+            accepted = accepted.unionByName(
+                self._read("state/accepted", ACCEPTED, past["batch_id"])
+            )
+            newest = past["at_ms"] if newest is None else max(newest, past["at_ms"])
+        if level and came["first_ms"] is not None:
+            ended = _moment(came["first_ms"] - memory_ms)
+            accepted = accepted.where(F.col("accepted_at") > ended)
+        self._write(accepted, "state/accepted", batch_id)
+        if newest is None:
+            return remembered
+        return [*remembered, {"batch_id": batch_id, "at_ms": newest, "level": level}]
 
     def _marked(self, rows: DataFrame, accepted: DataFrame) -> DataFrame:
         flag = accepted.select(*POSITION, F.lit(True).alias("is_first"))
@@ -192,22 +275,21 @@ class QualityJob:
         self._write(rejected_columns(marked.where(~kept)), "rejected", batch_id)
 
     def _advance(
-        self, marked: DataFrame, at: int, watermark: int | None, batch_id: int
-    ) -> int | None:
-        earlier = self._read("state/sources", SOURCES, batch_id - 1) if batch_id > 0 else None
-        self._write(seen_sources(marked, at, earlier), "state/sources", batch_id)
-        sources = self._read("state/sources", SOURCES, batch_id)
-        return combined_watermark(sources, at, watermark, self.rules)
-
-    def _close_minutes(
         self,
         marked: DataFrame,
+        earlier: DataFrame | None,
         watermark: int | None,
-        reached: int | None,
         batch_id: int,
-    ) -> None:
+    ) -> int | None:
+        self._write(seen_sources(marked, earlier, self.rules), "state/sources", batch_id)
+        sources = self._read("state/sources", SOURCES, batch_id)
+        settled = marked.agg(F.unix_millis(F.max("settled"))).first()[0]
+        known = [ms for ms in (settled, watermark) if ms is not None]
+        return reached_watermark(sources, max(known, default=None), self.rules)
+
+    def _close_minutes(self, marked: DataFrame, reached: int | None, batch_id: int) -> None:
         entered = marked.where(
-            F.col("reason").isNull() & counted(_moment(watermark), self.rules)
+            F.col("reason").isNull() & counted(F.col("watermark"), self.rules)
         )
         parts = partial_minutes(entered, self.rules)
         if batch_id > 0:
