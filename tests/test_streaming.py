@@ -216,12 +216,12 @@ def test_a_lost_checkpoint_is_an_error(spark, batches, expired):
 
 
 def test_remembered_ids_are_read_from_few_folders(batches):
-    for place in range(12):
+    for place in range(5):
         batches.batch(reading(f"id {place}", place))
         recent = batches.job.commit_of(place).recent
         assert len(recent) == bin(place + 1).count("1")
-    batches.batch(*[reading(f"id {place}", 12) for place in range(12)])
-    assert len(batches.rejected()) == 12
+    batches.batch(*[reading(f"id {place}", 12) for place in range(5)])
+    assert len(batches.rejected()) == 5
 
 
 def test_slow_idle_and_returning_partitions(batches):
