@@ -45,7 +45,8 @@ def seen_sources(rows: DataFrame, earlier: DataFrame | None, rules: Rules = Rule
     At most two rows per partition.
     """
     seen = _by_slice(rows, earlier, rules)
-    last = F.col("slice") == seen.agg(F.max("slice")).scalar()
+    # Taken as a number: rows numbered by Spark cannot be grouped by a subquery over them.
+    last = F.col("slice") == F.lit(seen.agg(F.max("slice")).first()[0]).cast("long")
     return (
         seen.groupBy("kafka_partition", last.alias("last"))
         .agg(F.max("slice").alias("slice"), F.max("newest").alias("newest"))
