@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.minutes import counted, minute_end
+from wakeline.settings import Rules
+
 
 def _copies(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("event_id").agg(F.count(F.lit(1)).alias(name))
@@ -35,15 +38,39 @@ def lost_ids(produced: DataFrame, stored: DataFrame) -> DataFrame:
     return ids.join(stored.select("event_id").distinct(), "event_id", "left_anti")
 
 
-def replay_check(detail: DataFrame, rejected: DataFrame) -> DataFrame:
-    """For every id with a rejected later copy, its accepted and rejected copies."""
-    later = rejected.where(F.col("reason") == "duplicate")
+def _minute_counts(detail: DataFrame, minutes: DataFrame, rules: Rules) -> DataFrame:
+    """Per id, the ids and the stored counts of the closed minutes it was counted in."""
+    minute = ["aircraft_id", "flight_id", "window_end"]
+    entered = detail.where(counted(F.col("watermark"), rules)).select(
+        "event_id", "aircraft_id", "flight_id", minute_end(rules).alias("window_end")
+    )
+    ids = entered.groupBy(*minute).agg(F.count_distinct("event_id").alias("ids"))
+    both = ids.join(minutes.select(*minute, "event_count"), minute)
+    return (
+        entered.join(both, minute)
+        .groupBy("event_id")
+        .agg(F.sum("ids").alias("minute_before"), F.sum("event_count").alias("minute_after"))
+    )
+
+
+def replay_check(
+    detail: DataFrame, rejected: DataFrame, minutes: DataFrame, rules: Rules = Rules()
+) -> DataFrame:
+    """For every id with a rejected later copy, what the three tables hold of it.
+
+    Its accepted and rejected copies; and of the closed minutes it was counted in, the
+    different ids (``minute_before``, what they held without any copy) and the stored
+    count (``minute_after``), 0 if there is no such minute. Replaying leaves both equal.
+    """
+    later = _copies(rejected.where(F.col("reason") == "duplicate"), "duplicate_rows")
     return (
-        _copies(later, "duplicate_rows")
-        .join(_copies(detail, "detail_rows"), "event_id", "left")
+        later.join(_copies(detail, "detail_rows"), "event_id", "left")
+        .join(_minute_counts(detail, minutes, rules), "event_id", "left")
         .select(
             "event_id",
             F.coalesce("detail_rows", F.lit(0)).alias("detail_rows"),
             "duplicate_rows",
+            F.coalesce("minute_before", F.lit(0)).alias("minute_before"),
+            F.coalesce("minute_after", F.lit(0)).alias("minute_after"),
         )
     )

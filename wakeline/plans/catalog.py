@@ -121,16 +121,16 @@ def post_close_rows(spark, sf_dir):
 
 
 def first_copy(spark, sf_dir):
-    return _replay(spark, sf_dir).first.select("event_id", "arrival_seq", "proc_time")
+    return _replay(spark, sf_dir).accepted.select("event_id", "arrival_seq", "proc_time")
 
 
 def duplicate_copies(spark, sf_dir):
-    return _replay(spark, sf_dir).duplicates.select("event_id", "arrival_seq", "proc_time")
+    return _replay(spark, sf_dir).repeated.select("event_id", "arrival_seq", "proc_time")
 
 
 def dedup_ttl(spark, sf_dir):
     """Ids accepted more than once, because a copy came after the memory."""
-    accepted = _replay(spark, sf_dir).first
+    accepted = _replay(spark, sf_dir).accepted
     return (
         accepted.groupBy("event_id")
         .agg(
@@ -152,8 +152,7 @@ def too_late_replay(spark, sf_dir):
 
 def replay_check(spark, sf_dir):
     replay = _replay(spark, sf_dir)
-    later = replay.duplicates.withColumn("reason", F.lit(R.DUPLICATE))
-    return reconcile.replay_check(replay.first, later)
+    return reconcile.replay_check(replay.first, replay.repeated, replay.minutes, replay.rules)
 
 
 # Reports
@@ -164,7 +163,7 @@ def kind_report(spark, sf_dir):
 
 
 def reason_report(spark, sf_dir):
-    return reports.reason_report(_replay(spark, sf_dir).rejected)
+    return reports.reason_report(_replay(spark, sf_dir).decided.where("reason IS NOT NULL"))
 
 
 def run_reasons(spark, sf_dir):
@@ -222,13 +221,13 @@ def latest_minutes(spark, sf_dir):
 def reconcile_ids(spark, sf_dir):
     replay = _replay(spark, sf_dir)
     produced = replay.feed.where((F.col("copy") == 0) & ~R.blank("event_id"))
-    return reconcile.reconcile_ids(produced, replay.first)
+    return reconcile.reconcile_ids(produced, replay.accepted)
 
 
 def lost_ids(spark, sf_dir):
     replay = _replay(spark, sf_dir)
     produced = replay.feed.where((F.col("copy") == 0) & ~R.blank("event_id"))
-    return reconcile.lost_ids(produced, replay.first)
+    return reconcile.lost_ids(produced, replay.accepted)
 
 
 def partition_skew(spark, sf_dir):

@@ -222,10 +222,29 @@ WHERE date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= watermark"""
 WHERE copy > 0 AND reason LIKE '%too_late%'"""
     ),
     "replay_check": _over_replay(
-        """SELECT event_id, count(*) FILTER (WHERE reason IS NULL) AS detail_rows,
-  count(*) FILTER (WHERE reason = 'duplicate') AS duplicate_rows
-FROM marked WHERE reject_reason IS NULL GROUP BY event_id
-HAVING count(*) FILTER (WHERE reason = 'duplicate') > 0"""
+        """, entered AS (
+  SELECT event_id, aircraft_id, flight_id, date_trunc('minute', event_time) AS window_start
+  FROM first WHERE date_trunc('minute', event_time) + INTERVAL 1 MINUTE > watermark
+),
+ids AS (
+  SELECT aircraft_id, flight_id, window_start, count(DISTINCT event_id) AS ids
+  FROM entered GROUP BY 1, 2, 3
+),
+counts AS (
+  SELECT e.event_id, sum(i.ids)::BIGINT AS minute_before,
+    sum(m.event_count)::BIGINT AS minute_after
+  FROM entered e JOIN ids i USING (aircraft_id, flight_id, window_start)
+  JOIN minutes m USING (aircraft_id, flight_id, window_start) GROUP BY 1
+),
+copies_of AS (
+  SELECT event_id, count(*) FILTER (WHERE reason IS NULL) AS detail_rows,
+    count(*) FILTER (WHERE reason = 'duplicate') AS duplicate_rows
+  FROM marked WHERE reject_reason IS NULL GROUP BY event_id
+  HAVING count(*) FILTER (WHERE reason = 'duplicate') > 0
+)
+SELECT event_id, detail_rows, duplicate_rows, coalesce(minute_before, 0) AS minute_before,
+  coalesce(minute_after, 0) AS minute_after
+FROM copies_of LEFT JOIN counts USING (event_id)"""
     ),
     "kind_report": _over_replay(
         f"""SELECT {_kinds()} AS kind, count(*) AS cnt,

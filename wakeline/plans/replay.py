@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from wakeline.functions import rules as R
 from wakeline.functions.timetext import clock_ms, iso_ms
 from wakeline.operators.dedup import accepted_positions, mark_first
-from wakeline.operators.eventtime import final_watermark, with_watermark_column
+from wakeline.operators.eventtime import with_watermark_column
 from wakeline.operators.minutes import counted, minute_aggregate
 from wakeline.schema import CLEAN_RECORD, DETAIL, REJECTED
 from wakeline.settings import Rules
+from wakeline.sources.staging import staged
 
 
 def detail_columns(rows: DataFrame) -> DataFrame:
@@ -40,6 +41,10 @@ class Replay:
     The feed needs the arrival columns and a unique integer ``order`` along
     which ``proc_time`` never falls. Rules are applied in stream order: defects
     and lateness first, then the first copy, then the minute.
+
+    ``tagged`` and ``clean`` are plain plans over whole rows. What needs the first
+    copies goes through ``judged``, a narrow written table: whole readings are then
+    shuffled once, to meet what was decided about them.
     """
 
     def __init__(self, feed: DataFrame, rules: Rules = Rules(), order: str = "arrival_seq"):
@@ -60,24 +65,43 @@ class Replay:
     def clean(self) -> DataFrame:
         return self.tagged.where(F.col("reject_reason").isNull())
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        """Position, id, arrival, watermark and own defects of every row, written once."""
+        narrow = (self.order, "event_id", "proc_time", "watermark", "late", "reject_reason")
+        return staged(self.tagged.select(*narrow), "judged")
+
+    @cached_property
+    def decided(self) -> DataFrame:
+        """``judged`` with the final reason of every row; NULL for accepted rows."""
+        clean = self.judged.where(F.col("reject_reason").isNull())
+        accepted = accepted_positions(clean, order=self.order, rules=self.rules)
+        marked = mark_first(self.judged, accepted, self.order)
+        later = F.when(~F.col("is_first"), R.DUPLICATE)
+        return marked.withColumn("reason", F.coalesce("reject_reason", later))
+
+    def _whole(self, decided: DataFrame) -> DataFrame:
+        told = decided.drop("event_id", "proc_time")
+        return self.feed.join(told, self.order).withColumn("overheat", R.overheat(self.rules))
+
     @cached_property
     def accepted(self) -> DataFrame:
-        return accepted_positions(self.clean, order=self.order, rules=self.rules)
+        """Rows of ``decided`` that are kept."""
+        return self.decided.where("is_first")
 
     @cached_property
-    def first(self) -> DataFrame:
-        return self.clean.join(self.accepted, self.order, "left_semi")
+    def repeated(self) -> DataFrame:
+        """Rows of ``decided`` that are later copies."""
+        return self.decided.where(F.col("reason") == R.DUPLICATE)
 
     @cached_property
-    def duplicates(self) -> DataFrame:
-        return self.clean.join(self.accepted, self.order, "left_anti")
+    def first(self) -> DataFrame:
+        return self._whole(self.accepted)
 
     @cached_property
     def marked(self) -> DataFrame:
-        """Every row with its final reason; NULL for accepted rows."""
-        marked = mark_first(self.tagged, self.accepted, self.order)
-        later = F.when(~F.col("is_first"), R.DUPLICATE)
-        return marked.withColumn("reason", F.coalesce("reject_reason", later))
+        """Every row with its final reason."""
+        return self._whole(self.decided)
 
     @cached_property
     def detail(self) -> DataFrame:
@@ -85,7 +109,7 @@ class Replay:
 
     @cached_property
     def rejected(self) -> DataFrame:
-        return rejected_columns(self.marked.where(F.col("reason").isNotNull()))
+        return rejected_columns(self._whole(self.decided.where(F.col("reason").isNotNull())))
 
     @cached_property
     def post_close(self) -> DataFrame:
@@ -96,5 +120,5 @@ class Replay:
     def minutes(self) -> DataFrame:
         """Closed minutes only: the watermark has reached their end."""
         entered = self.first.where(counted(F.col("watermark"), self.rules))
-        closed = F.col("window_end") <= final_watermark(self.feed, self.rules)
-        return minute_aggregate(entered, self.rules).where(closed)
+        reached = self.judged.agg(F.max("watermark")).scalar()
+        return minute_aggregate(entered, self.rules).where(F.col("window_end") <= reached)

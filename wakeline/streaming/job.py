@@ -16,6 +16,7 @@ Layout below the job's folder::
     state/sources                  newest event time per partition
     state/open_minutes             parts of minutes not closed yet
     begun, commits                 time of the batch; watermark after it
+    owner                          the driver at work there
 """
 
 from __future__ import annotations
@@ -91,11 +92,35 @@ class QualityJob:
         root: str,
         rules: Rules = Rules(),
         clock: Callable[[], int] = now_ms,
+        owner: str | None = None,
+        lease_s: float = 600,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.rules = rules
         self.clock = clock
+        self.owner = owner or spark.sparkContext.applicationId
+        self.lease_s = lease_s
+
+    def _claim(self, take_over: bool) -> None:
+        """Own the job's folder, or fail: its marker names the driver that works there.
+
+        Every batch renews the marker. One that is older than the lease belongs to a
+        driver that died, or is idle and will fail at its next batch; a start takes it over.
+        """
+        marker = f"{self.root}/owner"
+        if storage.write_line(self.spark, marker, self.owner, overwrite=False):
+            return
+        held = storage.read_line(self.spark, marker)
+        expired = take_over and storage.age_s(self.spark, marker) >= self.lease_s
+        if held != self.owner and not expired:
+            raise RuntimeError(f"{self.root} is owned by {held}")
+        storage.write_line(self.spark, marker, self.owner, overwrite=True)
+
+    def _release(self) -> None:
+        marker = f"{self.root}/owner"
+        if storage.read_line(self.spark, marker) == self.owner:
+            storage.delete(self.spark, marker)
 
     def _path(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch_id={batch_id}"
@@ -126,6 +151,7 @@ class QualityJob:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         """One micro-batch; call it again with the same id and messages and nothing changes."""
+        self._claim(take_over=False)
         done = self.commit_of(batch_id)
         if done:
             print_of = self._positioned(messages, 0).agg(self._fingerprint()).first()[0]
@@ -190,6 +216,7 @@ class QualityJob:
             **counters,
         }
         row = self._one_row().select(F.from_json(F.lit(json.dumps(commit)), COMMIT).alias("c"))
+        self._claim(take_over=False)
         self._write(row.select("c.*"), "commits", batch_id)
 
     def _positioned(self, messages: DataFrame, at: int) -> DataFrame:
@@ -311,12 +338,13 @@ class QualityJob:
         every: str = "30 seconds",
         available_now: bool = False,
     ) -> StreamingQuery:
-        """Start the query; a second one of the same name is refused.
+        """Start the query; a second one of the same name, or of another driver, is refused.
 
         Its checkpoint lives in the job's folder, so starting again resumes it.
         """
         if any(query.name == name for query in self.spark.streams.active):
             raise RuntimeError(f"query {name!r} is already running")
+        self._claim(take_over=True)
         writer = (
             stream.writeStream.queryName(name)
             .option("checkpointLocation", f"{self.root}/checkpoint")
@@ -341,6 +369,7 @@ class QualityJob:
             query = self.start(open_stream(), **start_options)
             try:
                 query.awaitTermination()
+                self._release()
                 return
             except StreamingQueryException:
                 if not left:
