@@ -48,7 +48,7 @@ WIDTH = 5
 FRAGMENTS = 4
 STARS = 8
 TURNS = 6
-BLOCK_GRAMS = 1_000_000
+BLOCK_GRAMS = 500_000
 BLOCK_SETS = 65_000
 RANGE_BYTES = 1 << 23
 PARITY_WORDS = 16
@@ -268,8 +268,8 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at = TaskContext.get().partitionId() << 33
     cuts = np.array([(k << 64) // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
     for batch in batches:
-        for first in range(0, batch.num_rows, 200):
-            part = batch.slice(first, 200)
+        for first in range(0, batch.num_rows, 50):
+            part = batch.slice(first, 50)
             cid, classes, sizes, fragments, grams, keys, parity = [], [], [], [], [], [], []
             for wanted, own in zip(part.column(0).to_pylist(), gram_sets(part.column(1)), strict=True):
                 if xxhash.xxh3_128_digest(own.tobytes()) != wanted:
