@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wakeline.llm import decontam, jaccard, langid, mixing, tokens
 from wakeline.llm.queries import END_ID, folder, tokenizer_path
 from wakeline.llm.tables import table
+from wakeline.sources.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A document is rejected if no language has this share of it.
@@ -48,21 +49,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in whole documents: each as often as its words are taken, rounded.
+    """The mix in whole documents: each as often as its share of words taken, without bias.
 
-    A document of which any words are taken stays at least once; one of which none are
-    goes. Ids repeat for documents of sources that are repeated.
+    The fraction that is no whole copy decides by a keyed draw whether there is one more;
+    a document drawn 0 times goes. Ids repeat for documents of sources that are repeated.
+    Rows are counted one by one, whether or not they share an id.
     """
-    plan = mixing.taken(mixing.mix(docs.select("doc_id", "text", "source")))
-    times = (
-        plan.filter("taken > 0")
-        .groupBy("doc_id")
-        .agg(F.greatest(F.lit(1), F.round(F.sum("taken") / F.sum("size")).cast("int")).alias("_times"))
-        .withColumnRenamed("doc_id", "_of")
-    )
+    rows = staged(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    plan = mixing.mix(rows.select("doc_id", "text", "source", "_row"), order=F.col("_row"))
+    times = mixing.copies(plan).withColumnRenamed("_order", "_row")
     return (
-        docs.join(times, docs.doc_id.eqNullSafe(times["_of"]))
-        .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        rows.join(times, "_row")
+        .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times"))))
         .select(*COLUMNS)
     )
 

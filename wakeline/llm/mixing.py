@@ -111,14 +111,19 @@ def mix(
     shard_slots: int = SHARD_SLOTS,
     seed: int = 11,
     chunk_rows: int = CHUNK_ROWS,
+    order: Column | None = None,
 ) -> Mix:
-    """Plan a mix of ``documents`` (doc_id, text, source) with as many words as they have."""
+    """Plan a mix of ``documents`` (doc_id, text, source) with as many words as they have.
+
+    ``order`` is a unique number of each row, if they have one.
+    """
+    own = F.monotonically_increasing_id() if order is None else order
     sizes = staged(
         documents.select(
             "doc_id",
             "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.monotonically_increasing_id().alias("_order"),
+            own.alias("_order"),
         ),
         "words",
     )
@@ -187,16 +192,50 @@ def contents(plan: Mix) -> DataFrame:
     )
 
 
-def taken(plan: Mix) -> DataFrame:
-    """Per document: size, source_size, target, and taken, the words that the mix reads of it."""
+def _read(plan: Mix) -> DataFrame:
+    """Per document of which words are read: _order and taken, their number."""
     reads = plan.slots.groupBy("source", "block").agg(F.count("*").alias("reads"))
     reads = reads.select(F.col("source").alias("_of"), F.col("block").alias("_at"), "reads")
-    words = (
+    return (
         # Sizes behind an explode are guessed too low for Spark to choose this join itself.
         plan.parts.join(reads.hint("merge"), _same("source", "_of") & (F.col("block") == F.col("_at")))
         .groupBy("_order")
         .agg(F.sum(F.col("words") * F.col("reads")).alias("taken"))
     )
+
+
+def copies(plan: Mix, chunk_rows: int = CHUNK_ROWS, seed: int = 11) -> DataFrame:
+    """Whole copies of each document, without bias: _order and times, where that is not 0.
+
+    A document is drawn ``taken / size`` times on average: the whole part always, and the
+    fractions, summed from a keyed start over a source's documents by size, once at every
+    whole number they pass. The words drawn of a source differ from those taken by less
+    than its longest document (in every chunk of about ``chunk_rows`` documents).
+    """
+    chunks = max(1, -(-plan.sizes.filter("size > 0").count() // chunk_rows))
+    one = 1 << 30
+    within = (
+        Window.partitionBy("source", "_chunk")
+        .orderBy("size", F.xxhash64("doc_id", F.lit(seed)), "doc_id", "_order")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    start = F.xxhash64("source", "_chunk", F.lit(seed)).bitwiseAND(one - 1)
+    return (
+        plan.sizes.join(_read(plan), "_order")
+        .withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(chunks)))
+        .withColumn("_part", F.expr(f"(taken % size) * {one}L DIV size"))
+        .withColumn("_sum", F.sum("_part").over(within) + start)
+        .withColumn(
+            "times", F.expr(f"taken DIV size + _sum DIV {one}L - (_sum - _part) DIV {one}L").cast("int")
+        )
+        .filter("times > 0")
+        .select("_order", "times")
+    )
+
+
+def taken(plan: Mix) -> DataFrame:
+    """Per document: size, source_size, target, and taken, the words that the mix reads of it."""
+    words = _read(plan)
     sources = plan.sources.select(F.col("source").alias("_of"), "source_size", "target")
     return (
         plan.sizes.join(words, "_order", "left")
