@@ -216,6 +216,23 @@ def test_langid(spark):
     assert {r.lang_pred for r in langid.identify(documents(spark, [(1, "abc", "s", None, None)])).collect()} == {"und"}
 
 
+def test_langid_of_many_languages(spark):
+    """A document of four or six languages has the shares of all of them."""
+    rng = random.Random(2)
+    letters = dict(zip("abcdef", ("etaoi", "üößrs", "zxqwv", "bcdfg", "hjklm", "npyäé"), strict=True))
+    say = lambda lang, n: " ".join("".join(rng.choices(letters[lang], k=5)) for _ in range(n))
+    rows = [(i, say(lang, 40), "s", lang, None) for i, lang in enumerate("abcdef" * 40)]
+    mixes = {900: {"a": 180, "b": 80, "c": 80, "d": 60}, 901: dict(zip("fedcba", (90, 80, 70, 60, 50, 50), strict=True))}
+    rows += [(i, " ".join(say(lang, n) for lang, n in mix.items()), "s", None, None) for i, mix in mixes.items()]
+    got = {r.doc_id: r for r in langid.identify(documents(spark, rows)).collect()}
+    for i, mix in mixes.items():
+        grams = {lang: n * len(letters[lang].encode()) for lang, n in mix.items()}
+        assert set(got[i].shares) == set(mix) and abs(sum(got[i].shares.values()) - 1) < 1e-3
+        for lang, n in grams.items():
+            assert abs(got[i].shares[lang] - n / sum(grams.values())) < 0.06
+    assert got[900].lang_pred == "a" and got[900].score < 0.5
+
+
 def test_warc(spark, tmp_path):
     big = "<p>" + "é" * 700
     rows = [(i, f"http://x/{i}\r\nEvil: 1", f"<html>{prose(60)}</html>") for i in range(100)]

@@ -3,8 +3,9 @@
 A language is a distribution over letter n-grams (bytes, of GRAM, hashed into BUCKETS),
 counted over every labelled training text. A document's n-grams are taken to be drawn
 from several languages: expectation-maximisation estimates their shares, first with all
-languages, then with only its 1, 2, .. leading ones, and the set with the largest
-penalised likelihood stays, each further language costing PENALTY * log(n-grams). The
+languages, then with only its 1, 2, .. leading ones, as far as the next one's share is at
+least LEAST_SHARE, and the set with the largest penalised likelihood stays, each further
+language costing PENALTY * log(n-grams). The
 prediction is the language with the largest share, its share is the score.
 
 Counts go through one shuffle, combined in the tasks first; the model is a table of
@@ -31,7 +32,6 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.1
 PENALTY = 6.0
 ROUNDS = 12
-LEADING = 3
 # Shares below this are no language's; a leading set stops growing there.
 LEAST_SHARE = 0.02
 # More labels than this would make the model larger than a task should hold.
@@ -141,7 +141,7 @@ def mixture(table: np.ndarray, rows: np.ndarray, buckets: np.ndarray) -> tuple[n
     shares, _ = _fit(likely, weight, bounds, at, full)
     order = np.argsort(-shares, axis=1, kind="stable")
     best, best_level = None, None
-    for k in range(1, min(LEADING, size) + 1):
+    for k in range(1, size + 1):
         start = np.zeros_like(full)
         np.put_along_axis(start, order[:, :k], 1.0 / k, axis=1)
         if k > 1:
