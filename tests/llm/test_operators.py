@@ -351,3 +351,32 @@ def test_ann(spark):
     few = ann.neighbours(df.filter("vec_id < 3"), F.col("vec_id") % 20 == 0).collect()
     assert [(r.rank, r.query_id) for r in few] == [(1, 0), (2, 0)]
     assert ann.neighbours(df.filter("vec_id is null"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.5, 4.0])
+def test_ann_with_many_lists(spark, monkeypatch, spread):
+    """Recall holds where there are many lists, in clusters and almost without them."""
+    monkeypatch.setattr(ann, "LIST_ROWS", 40)
+    asked, searched = [], ann._searched
+
+    def counted(posted, parts, searches, k):
+        asked.append((searches.count(), parts.count()))
+        return searched(posted, parts, searches, k)
+
+    monkeypatch.setattr(ann, "_searched", counted)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(100, 64))
+    data = centres[rng.integers(0, 100, 12_000)] + spread * rng.normal(size=(12_000, 64))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    got = ann.neighbours(df, F.col("vec_id") % 20 == 0).toPandas()
+    hit = 0
+    for query, own in got.groupby("query_id"):
+        line = data @ data[query]
+        line[query] = -np.inf
+        hit += len(set(np.argsort(-line)[:20]) & set(own.vec_id))
+    recall, lists = hit / (20 * 600), asked[0][1]
+    print("recall", recall, "lists searched", asked[0][0] / 600, "of", lists)
+    assert recall >= 0.95 and lists >= 250
+    if spread < 1:
+        assert asked[0][0] / 600 <= lists / 10

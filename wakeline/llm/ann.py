@@ -5,8 +5,10 @@ sample (SAMPLE vectors, in hash order), in which crowded centroids cost more. Ev
 is indexed: it goes to the list of its nearest centroid, and a vector near a boundary also
 to the lists of others not farther than BOUNDARY times that distance, at most COPIES of
 them. Centroids are searched through a graph of their neighbours that each task holds in
-memory (beam search, all vectors of a batch in step). A query searches the lists whose
-centroid is not farther than RATIO times the nearest one, at most PROBES of them.
+memory (beam search, all vectors of a batch in step). A query searches all lists whose
+centroid is not farther than a ratio times the nearest one. The ratio is found from the
+data: a sample of SAMPLED queries is answered by brute force, and it is the least at which
+their lists hold the share RECALL of those answers. No number of lists bounds a search.
 
 Inner product becomes distance by one more component that gives all vectors the norm of
 the longest. Equal vectors are one entry with its smallest ids, as many as an answer can
@@ -38,7 +40,7 @@ ROUNDS = 12
 NEIGHBOURS = 16
 BEAM = 48
 BOUNDARY, COPIES = 1.1, 4
-RATIO, PROBES = 1.6, 24
+SAMPLED, RECALL = 512, 0.98
 PART_ROWS = 4000
 SPARE = 8
 
@@ -89,6 +91,11 @@ class Centroids:
             beam, far, done = beam[everyone, order], far[everyone, order], done[everyone, order]
         return beam[:, :most], far[:, :most]
 
+    def distances(self, vectors: np.ndarray) -> np.ndarray:
+        """Distances of each vector to all centroids."""
+        squares = (vectors**2).sum(1)[:, None] + (self.points**2).sum(1) - 2 * vectors @ self.points.T
+        return np.sqrt(np.maximum(squares, 0))
+
     def _distances(self, vectors: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Distances to a few centroids of each vector."""
         dots = np.einsum("nd,nkd->nk", vectors, self.points[ids])
@@ -131,27 +138,102 @@ def fit(entries: DataFrame, total: int, norm: float) -> Centroids:
     return Centroids(centres, near, np.unique(starts), norm)
 
 
-def _assigner(centroids: Centroids, query: bool, ratio: float, most: int):
+def _posted(batch: pa.RecordBatch, row: np.ndarray, lists: np.ndarray) -> pa.RecordBatch:
+    rows = pa.array(row)
+    columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lists)]
+    return pa.RecordBatch.from_arrays(columns, ["entry", "vector", "list"])
+
+
+def _assigner(centroids: Centroids):
+    """Entries to the lists of the nearest centroids."""
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
                 vectors = _matrix(part.column(1))
-                lists, far = centroids.search(centroids.lifted(vectors, query), most)
-                near = np.isfinite(far) & (far <= far[:, :1] * ratio + 1e-12)
+                lists, far = centroids.search(centroids.lifted(vectors, False), COPIES)
+                near = np.isfinite(far) & (far <= far[:, :1] * BOUNDARY + 1e-12)
                 row, place = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(row)),
-                        part.column(1).take(pa.array(row)),
-                        pa.array(lists[row, place]),
-                    ],
-                    ["entry", "vector", "list"],
-                )
+                yield _posted(part, row, lists[row, place])
 
     return assign
 
 
+def _chooser(centroids: Centroids, ratio: float):
+    """Queries to all lists within ``ratio`` of the nearest centroid."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
+                far = centroids.distances(centroids.lifted(_matrix(part.column(1)), True))
+                most = far.min(1, keepdims=True) * ratio + 1e-12 if np.isfinite(ratio) else np.inf
+                yield _posted(part, *np.nonzero(far <= most))
+
+    return choose
+
+
+def _scanner(asked: np.ndarray, queries: np.ndarray, most: int):
+    """The best entries of a task for each of a few queries, the query itself left out."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = np.full((len(asked), most), -np.inf)
+        held = np.full((len(asked), most), -1, np.int64)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 4096):
+                part = batch.slice(first, 4096)
+                own = np.asarray(part.column(0))
+                scores = asked @ _matrix(part.column(1)).T
+                scores[queries[:, None] == own] = -np.inf
+                near = np.concatenate((near, scores), 1)
+                held = np.concatenate((held, np.broadcast_to(own, scores.shape)), 1)
+                best = np.argpartition(-near, most - 1, axis=1)[:, :most]
+                near, held = np.take_along_axis(near, best, 1), np.take_along_axis(held, best, 1)
+        row, place = np.nonzero(np.isfinite(near))
+        columns = [pa.array(queries[row]), pa.array(held[row, place]), pa.array(near[row, place])]
+        yield pa.RecordBatch.from_arrays(columns, ["query", "entry", "near"])
+
+    return scan
+
+
+def _binding_ratio(
+    centroids: Centroids, entries: DataFrame, posted: DataFrame, asked: DataFrame, k: int, recall: float
+) -> float:
+    """The least ratio at which the lists searched hold ``recall`` of the nearest entries.
+
+    Measured with the exact answers of at most SAMPLED queries, chosen by hash.
+    """
+    sample = asked.orderBy(F.xxhash64("smallest"), "smallest").limit(SAMPLED).select("entry", "vector").collect()
+    if not sample:
+        return 1.0
+    queries = np.array([row.entry for row in sample], np.int64)
+    vectors = np.array([row.vector for row in sample], np.float64)
+    best = Window.partitionBy("query").orderBy(F.desc("near"), "entry")
+    nearest = (
+        entries.select("entry", "vector")
+        .mapInArrow(_scanner(vectors, queries, k), "query long, entry long, near double")
+        .withColumn("_n", F.row_number().over(best))
+        .filter(F.col("_n") <= k)
+    )
+    held = (
+        posted.select("entry", "list")
+        .join(F.broadcast(nearest.select("query", "entry")), "entry")
+        .groupBy("query", "entry")
+        .agg(F.collect_list("list").alias("lists"))
+        .collect()
+    )
+    far = centroids.distances(centroids.lifted(vectors, True))
+    first = far.min(1)
+    place = {query: i for i, query in enumerate(queries.tolist())}
+    ratios = []
+    for row in held:
+        at = place[row.query]
+        least = far[at, row.lists].min()
+        ratios.append(1.0 if least <= first[at] else least / first[at] if first[at] > 0 else np.inf)
+    return float(np.quantile(ratios, recall, method="higher")) * (1 + 1e-9) if ratios else 1.0
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -162,12 +244,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _nearest(most: int):
     def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
         """The best entries of one part of a list for each query that searches it."""
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
         if len(left) and len(right):
             entries, vectors = np.asarray(left["entry"]), _matrix(left["vector"])
             smallest = np.asarray(left["smallest"])
             order = np.argsort(smallest, kind="stable")
-            entries, vectors = entries[order], vectors[order]
+            entries, vectors, smallest = entries[order], vectors[order], smallest[order]
             queries, asked = np.asarray(right["entry"]), _matrix(right["vector"])
             for first in range(0, len(asked), 256):
                 scores = asked[first : first + 256] @ vectors.T
@@ -178,11 +260,12 @@ def _nearest(most: int):
                         np.repeat(queries[first : first + 256], size),
                         entries[best].ravel(),
                         np.take_along_axis(scores, best, 1).ravel(),
+                        smallest[best].ravel(),
                     )
                 )
-        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[], [], []]
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
-        names = ["query", "entry", "near"]
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[], [], [], []]
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+        names = ["query", "entry", "near", "smallest"]
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
     return nearest
@@ -212,9 +295,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.filter(F.size("vector") == (first["size"] if first else 0)).distinct()
 
 
-def neighbours(
-    vectors: DataFrame, is_query: Column, k: int = 20, ratio: float = RATIO, probes: int = PROBES
-) -> DataFrame:
+def neighbours(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = RECALL) -> DataFrame:
     """The k nearest of all other vectors for each query: query_id, rank, vec_id, score."""
     rows = staged(usable(vectors), "vectors")
     # Equal vectors: an answer never holds more of them than its size, and the query itself.
@@ -241,9 +322,7 @@ def neighbours(
     centroids = fit(entries, total, longest)
     posted = staged(
         entries.select("entry", "vector")
-        .mapInArrow(
-            _assigner(centroids, False, BOUNDARY, COPIES), "entry long, vector array<double>, list long"
-        )
+        .mapInArrow(_assigner(centroids), "entry long, vector array<double>, list long")
         .join(entries.select("entry", "smallest"), "entry"),
         "postings",
     )
@@ -251,8 +330,9 @@ def neighbours(
         F.ceil(F.count("*") / F.lit(PART_ROWS)).cast("int").alias("parts")
     )
     one_each = asked.select("query").distinct().join(entries, F.col("query") == F.col("entry"))
+    ratio = _binding_ratio(centroids, entries, posted, one_each, k, recall)
     searches = one_each.select("entry", "vector").mapInArrow(
-        _assigner(centroids, True, ratio, probes), "entry long, vector array<double>, list long"
+        _chooser(centroids, ratio), "entry long, vector array<double>, list long"
     )
     found = staged(_searched(posted, parts, searches, k), "found")
     # Queries with too few candidates search every list.
@@ -280,11 +360,11 @@ def _searched(posted: DataFrame, parts: DataFrame, searches: DataFrame, k: int)
         split.select("list", "part", "entry", "vector", "smallest")
         .groupBy("list", "part")
         .cogroup(asked.select("list", "part", "entry", "vector").groupBy("list", "part"))
-        .applyInArrow(_nearest(k + 1 + SPARE), "query long, entry long, near double")
-        .groupBy("query", "entry")
+        .applyInArrow(_nearest(k + 1 + SPARE), "query long, entry long, near double, smallest long")
+        .groupBy("query", "entry", "smallest")
         .agg(F.max("near").alias("near"))
     )
-    order = Window.partitionBy("query").orderBy(F.desc("near"), "entry")
+    order = Window.partitionBy("query").orderBy(F.desc("near"), "smallest")
     return (
         best.withColumn("_n", F.row_number().over(order))
         .filter(F.col("_n") <= k + 1 + SPARE)
