@@ -35,10 +35,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of links: that with the smallest id."""
-    found = jaccard.linked(docs.select("doc_id", "text"))
-    gone = found.filter("not doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti").select(*COLUMNS)
+    """One row of each group of links: that with the smallest id, nulls last.
+
+    Rows have a number of their own, so repeated rows, null ids and ids that texts of
+    several groups share are told apart. Texts without words are in no group and stay.
+    """
+    rows = staged(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = jaccard.linked(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
+    return rows.join(kept, "_row").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,3 +53,17 @@ def test_copies_have_no_bias(spark):
         taken[row["size"]] += row.taken
     for n in (5, 500):
         assert abs(drawn[n] / 4 - taken[n] / n) <= 4
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, groups without ids, and an id shared by a copy and a text of its own."""
+    rng = random.Random(9)
+    one, two, three, four, five = (" ".join(str(rng.randint(0, 10**6)) for _ in range(40)) for _ in range(5))
+    rows = [(1, one, "s")] * 3 + [(None, two, "s")] * 2 + [(None, f"{two} more", "t"), (None, three, "s")]
+    rows += [(5, four, "s"), (6, four, "s"), (6, five, "s"), (None, four, "s"), (8, "", "s"), (9, None, "s")]
+    got = corpus_pipeline.near_duplicates(spark, texts(spark, rows).repartition(3), "")
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert [t for i, t in kept if t and t.startswith(two)] in ([two], [f"{two} more"])
+    rest = Counter(x for x in kept if not (x[1] or "").startswith(two))
+    assert rest == Counter([(1, one), (None, three), (5, four), (6, five), (8, ""), (9, None)])
+    assert corpus_pipeline.near_duplicates(spark, texts(spark, []), "").count() == 0
