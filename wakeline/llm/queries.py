@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, and SQL for those that SQL can express."""
+"""The operators as queries over whole tables, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm import (
+    align,
     ann,
     chat,
     decontam,
@@ -24,6 +25,7 @@ from wakeline.llm.tables import table
 from wakeline.sources.staging import shared_dir, staged
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 FORGED = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -33,6 +35,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def alignment_paths() -> tuple[str, str]:
+    import public_tokenizers
+
+    return tuple(map(public_tokenizers.path, ALIGNED))
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder that all executors share."""
     return f"{shared_dir(spark)}/wakeline/{name}-{uuid.uuid4().hex}"
@@ -92,6 +100,10 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.counted(table(spark, sf_dir, "documents", "doc_id", "text"), *alignment_paths())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
 
