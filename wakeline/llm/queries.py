@@ -20,6 +20,7 @@ from wakeline.llm import (
     sharding,
     tokens,
     warc,
+    whitening,
 )
 from wakeline.llm.tables import table
 from wakeline.sources.staging import shared_dir, staged
@@ -100,6 +101,10 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.counted(table(spark, sf_dir, "documents", "doc_id", "text"), *alignment_paths())
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
+    "op11_whitening": op11_whitening,
     "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
