@@ -19,6 +19,7 @@ from wakeline.llm import (
     secrets,
     sharding,
     tokens,
+    toxicity,
     warc,
     whitening,
 )
@@ -105,6 +106,13 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(
+        table(spark, sf_dir, "documents", "doc_id", "text"),
+        table(spark, sf_dir, "labels", "doc_id", "toxic"),
+    )
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.counted(table(spark, sf_dir, "documents", "doc_id", "text"), *alignment_paths())
 
@@ -127,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
     "op11_whitening": op11_whitening,
+    "op12_toxicity": op12_toxicity,
     "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }

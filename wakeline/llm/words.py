@@ -106,3 +106,11 @@ def shingles(found: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(width):
         total += np.where(at + k < end, padded[at + k], np.uint64(0)) * _PLACES[k]
     return mix(total), bounds
+
+
+def range_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte ranges starts[i]:ends[i]; equal ranges have equal ones."""
+    size = len(text)
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum(_VALUES[text] * _power(_BASE, size)[:size], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _power(_INVERSE, size)[starts])
