@@ -59,11 +59,11 @@ def scenario():
 def test_single_messages(spark, tmp_path):
     """A reading, its copy, an overheated one, and one too far behind another."""
     run = Run(spark, tmp_path, streamed=False)
-    run.batch(message("NORMAL", "AC-101", "F1", at(0)))
-    run.batch(message("NORMAL", "AC-101", "F1", at(0)))
-    run.batch(message("OVERHEAT", "AC-202", "F2", at(0), engine_temp_c=1100, fuel_flow_kg_h=3200))
-    run.batch(message("AHEAD", "AC-404", "F3", at(60)))
-    run.batch(message("BEHIND", "AC-404", "F3", at(0)))
+    run.batch(message("NORMAL", "plane 1", "leg 1", at(0)))
+    run.batch(message("NORMAL", "plane 1", "leg 1", at(0)))
+    run.batch(message("OVERHEAT", "plane 2", "leg 2", at(0), engine_temp_c=1000.5))
+    run.batch(message("AHEAD", "plane 3", "leg 3", at(45)))
+    run.batch(message("BEHIND", "plane 3", "leg 3", at(10)))
     assert run.rejected() == [("BEHIND", "too_late"), ("NORMAL", "duplicate")]
     hot = {row.event_id: row.overheat for row in run.table("detail").collect()}
     assert hot == {"NORMAL": False, "OVERHEAT": True, "AHEAD": False}

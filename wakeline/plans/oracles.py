@@ -18,18 +18,25 @@ FLIGHT = "AC-7-click"
 PREFIXES = ("E-9", "E-47")
 
 FEED = """
+bounds AS (
+  SELECT max(event_id) AS newest, min(epoch_us(ts) // 1000) AS first_ms, max(epoch_us(ts) // 1000) AS last_ms
+  FROM events
+),
 base AS (
   SELECT event_id AS n, event_id % 100 AS k, user_id, event_type, value,
-         'AC-' || (user_id % 50) AS aircraft
+         'AC-' || (user_id % 50) AS aircraft,
+         CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS prop,
+         ((epoch_us(ts) // 1000) - (SELECT first_ms FROM bounds)) * (SELECT newest FROM bounds)
+           // (SELECT greatest(1, (last_ms - first_ms) // 1000) FROM bounds) AS event_ms
   FROM events
 ),
 copies AS (
-  SELECT *, 0 AS copy, 10 * n AS arrival_seq, n AS tsec FROM base
+  SELECT *, 0 AS copy, 10 * n AS arrival_seq FROM base
   UNION ALL
-  SELECT *, 1, 10 * n + CASE WHEN k = 51 THEN 305 ELSE 35 END, n FROM base WHERE n % 20 = 11
+  SELECT *, 1, 10 * n + CASE WHEN k = 51 THEN 305 ELSE 35 END FROM base WHERE n % 20 = 11
   UNION ALL
-  SELECT *, 2, 10 * n + 37001, n + 3700 FROM base
-  WHERE n % 1000 = 91 AND n + 3700 < (SELECT max(event_id) FROM events)
+  SELECT * REPLACE (n - 3700 AS n), 2, 10 * n + 1 FROM base
+  WHERE n % 1000 = 791 AND n > 3700 AND n < (SELECT newest FROM bounds)
 ),
 shifted AS (
   SELECT *, CASE WHEN copy > 0 THEN 0
@@ -43,13 +50,13 @@ feed AS (
     CASE WHEN k IN (17, 43) THEN '' WHEN k = 37 THEN '   ' ELSE 'E-' || n END AS event_id,
     CASE WHEN k <> 57 THEN aircraft END AS aircraft_id,
     CASE WHEN k <> 77 THEN aircraft || '-' || event_type END AS flight_id,
-    CASE WHEN k <> 97 THEN TIMESTAMP '2024-01-01' + to_seconds(tsec - shift) END AS event_time,
-    31.2::DOUBLE AS latitude, 121.5::DOUBLE AS longitude,
-    (1000 * (n % 36))::DOUBLE AS altitude_ft, (150 + n % 310)::DOUBLE AS ground_speed_kts,
-    0::DOUBLE AS vertical_speed_fpm, 180::DOUBLE AS heading_deg,
+    CASE WHEN k <> 97 THEN TIMESTAMP '2024-01-01' + to_milliseconds(event_ms - 1000 * shift) END AS event_time,
+    (prop - 50)::DOUBLE AS latitude, (user_id % 360 - 180)::DOUBLE AS longitude,
+    (400 * prop)::DOUBLE AS altitude_ft, (150 + 3 * prop)::DOUBLE AS ground_speed_kts,
+    10 * value AS vertical_speed_fpm, (3 * prop)::DOUBLE AS heading_deg,
     CASE WHEN k NOT IN (3, 23, 43) THEN 600 + 2 * value END AS engine_temp_c,
-    58::DOUBLE AS oil_pressure_psi, (600 + 10 * (n % 300))::DOUBLE AS fuel_flow_kg_h,
-    (16800 - n % 4540)::DOUBLE AS fuel_remaining_kg, (-54.3)::DOUBLE AS outside_air_temp_c,
+    (40 + prop % 25)::DOUBLE AS oil_pressure_psi, (600 + 20 * prop)::DOUBLE AS fuel_flow_kg_h,
+    (16800 - 160 * prop)::DOUBLE AS fuel_remaining_kg, -value AS outside_air_temp_c,
     (user_id % 12)::INTEGER AS kafka_partition,
     TIMESTAMP '2024-01-01' + to_milliseconds(arrival_seq * 100) AS proc_time
   FROM shifted

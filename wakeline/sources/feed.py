@@ -1,7 +1,9 @@
 """Arrival feed derived from the ``events`` table.
 
-The table has unique ids in time order and no defects. The feed gives its rows
-disorder, copies and defects that depend on the event number alone.
+Event times follow ``ts``: its whole range is drawn together so that a second holds one
+event on average, which keeps the order and the unevenness of the gaps. Sensors follow
+``value`` and ``props``. The table has unique ids in time order and no defects; the feed
+gives its rows disorder, copies and defects by the event number.
 """
 
 from __future__ import annotations
@@ -19,16 +21,22 @@ START_S = 1_704_067_200  # 2024-01-01 00:00:00 UTC
 PARTITIONS = 12
 AIRCRAFT = 50
 
-# Arrivals of one event: itself, a close copy, and a copy after the dedup memory.
+# Milliseconds of ``ts``, read off its fields so that no time zone touches them.
+TS_MS = """(unix_date(CAST(ts AS DATE)) * 86400000L + (hour(ts) * 60 + minute(ts)) * 60000L
+  + CAST(floor(extract(SECOND FROM ts) * 1000) AS BIGINT))"""
+EVENT_MS = "(ts_ms - first_ms) * newest DIV greatest(1L, (last_ms - first_ms) DIV 1000)"
+
+# Arrivals of one event: itself, a close copy, and under the id of an event 3700 earlier
+# a copy after the dedup memory.
 COPIES = """
 inline(array(
-  struct(0 AS copy, 10 * event_id AS arrival_seq, event_id AS tsec),
+  struct(0 AS copy, 10 * event_id AS arrival_seq, event_id AS n),
   CASE WHEN event_id % 20 = 11 THEN
     struct(1 AS copy,
            10 * event_id + 35 + IF(event_id % 100 = 51, 270, 0) AS arrival_seq,
-           event_id AS tsec) END,
-  CASE WHEN event_id % 1000 = 91 AND event_id + 3700 < newest THEN
-    struct(2 AS copy, 10 * event_id + 37001 AS arrival_seq, event_id + 3700 AS tsec) END
+           event_id AS n) END,
+  CASE WHEN event_id % 1000 = 791 AND event_id > 3700 AND event_id < newest THEN
+    struct(2 AS copy, 10 * event_id + 1 AS arrival_seq, event_id - 3700 AS n) END
 ))
 """
 
@@ -49,18 +57,18 @@ COLUMNS = {
     "event_id": "CASE WHEN k IN (17, 43) THEN '' WHEN k = 37 THEN '   ' ELSE 'E-' || n END",
     "aircraft_id": "CASE WHEN k <> 57 THEN aircraft END",
     "flight_id": "CASE WHEN k <> 77 THEN aircraft || '-' || event_type END",
-    "event_time": f"CASE WHEN k <> 97 THEN timestamp_seconds({START_S} + tsec - shift) END",
-    "latitude": "31.2D",
-    "longitude": "121.5D",
-    "altitude_ft": "CAST(1000 * (n % 36) AS DOUBLE)",
-    "ground_speed_kts": "CAST(150 + n % 310 AS DOUBLE)",
-    "vertical_speed_fpm": "0D",
-    "heading_deg": "180D",
+    "event_time": f"CASE WHEN k <> 97 THEN timestamp_millis({START_S}000 + event_ms - 1000 * shift) END",
+    "latitude": "CAST(prop - 50 AS DOUBLE)",
+    "longitude": "CAST(user_id % 360 - 180 AS DOUBLE)",
+    "altitude_ft": "CAST(400 * prop AS DOUBLE)",
+    "ground_speed_kts": "CAST(150 + 3 * prop AS DOUBLE)",
+    "vertical_speed_fpm": "10 * value",
+    "heading_deg": "CAST(3 * prop AS DOUBLE)",
     "engine_temp_c": "CASE WHEN k NOT IN (3, 23, 43) THEN 600 + 2 * value END",
-    "oil_pressure_psi": "58D",
-    "fuel_flow_kg_h": "CAST(600 + 10 * (n % 300) AS DOUBLE)",
-    "fuel_remaining_kg": "CAST(16800 - n % 4540 AS DOUBLE)",
-    "outside_air_temp_c": "-54.3D",
+    "oil_pressure_psi": "CAST(40 + prop % 25 AS DOUBLE)",
+    "fuel_flow_kg_h": "CAST(600 + 20 * prop AS DOUBLE)",
+    "fuel_remaining_kg": "CAST(16800 - 160 * prop AS DOUBLE)",
+    "outside_air_temp_c": "-value",
     "kafka_partition": f"CAST(user_id % {PARTITIONS} AS INT)",
     "kafka_offset": "CAST(NULL AS BIGINT)",
     "kafka_timestamp": f"timestamp_millis({START_S}000 + 100 * arrival_seq)",
@@ -79,17 +87,22 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``n`` and ``copy`` tell which event and which of its arrivals a row is.
     ``kafka_offset`` is left NULL; :func:`with_offsets` fills it where wanted.
     """
-    events = read_events(spark, sf_dir)
-    newest = events.agg(F.max("event_id")).scalar()
+    events = read_events(spark, sf_dir).withColumn("ts_ms", F.expr(TS_MS))
+    bounds = {
+        "newest": events.agg(F.max("event_id")).scalar(),
+        "first_ms": events.agg(F.min("ts_ms")).scalar(),
+        "last_ms": events.agg(F.max("ts_ms")).scalar(),
+    }
     return (
-        events.withColumn("newest", newest)
+        events.withColumns(bounds)
         .selectExpr(
-            "event_id AS n",
             "event_id % 100 AS k",
             "user_id",
             f"'AC-' || user_id % {AIRCRAFT} AS aircraft",
             "event_type",
             "value",
+            "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS prop",
+            f"{EVENT_MS} AS event_ms",
             COPIES,
         )
         .where("copy IS NOT NULL")
