@@ -140,3 +140,29 @@ def reached_watermark(
     if active["sources"] == 1 and active["newest_ms"] is not None:
         found.append(active["newest_ms"] - int(rules.out_of_order_s * 1000))
     return max((ms for ms in found if ms is not None), default=None)
+
+
+def released_watermark(
+    sources: DataFrame, idle: list[int], reached_ms: int | None, rules: Rules = Rules()
+) -> int | None:
+    """The watermark in epoch ms while the partitions named are idle.
+
+    The slowest partition that is left sets it, and the one heard of last where none is
+    left: it was alone before it fell silent too. It never falls below ``reached_ms``.
+    ``sources`` is the state of :func:`seen_sources`, a row or two per partition.
+    """
+    ends = sources.groupBy("kafka_partition").agg(
+        F.max("slice").alias("slice"), F.max("newest").alias("newest")
+    )
+    active = ~F.col("kafka_partition").isin(idle)
+    found = ends.agg(
+        F.unix_millis(F.min(F.when(active, F.col("newest")))).alias("slowest_ms"),
+        F.count_if(active & F.col("newest").isNull()).alias("holding"),
+        F.count_if(active).alias("active"),
+        F.unix_millis(F.max(F.struct("slice", "newest"))["newest"]).alias("last_ms"),
+    ).first()
+    if found["holding"]:
+        return reached_ms
+    newest = found["slowest_ms"] if found["active"] else found["last_ms"]
+    known = [reached_ms, None if newest is None else newest - int(rules.out_of_order_s * 1000)]
+    return max((ms for ms in known if ms is not None), default=None)

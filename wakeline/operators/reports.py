@@ -58,11 +58,11 @@ def latest(rows: DataFrame, *newest_first: str, tie_break: Sequence[str], k: int
     return rows.orderBy(*order, *tie_break).limit(k)
 
 
-def stage_counters(marked: DataFrame) -> DataFrame:
-    """What each stage did, in one pass over rows with their final ``reason``."""
+def stage_measures() -> list[Column]:
+    """What each stage did, as aggregates of rows with their final ``reason``."""
     reason, late = F.col("reason"), F.col("late")
     behind = F.coalesce(reason.contains(TOO_LATE), F.lit(False))
-    return marked.agg(
+    return [
         F.count(F.lit(1)).alias("decoded"),
         F.count_if(behind).alias("late_dropped"),
         F.count_if(late & ~behind).alias("late_accepted"),
@@ -72,7 +72,12 @@ def stage_counters(marked: DataFrame) -> DataFrame:
         ),
         F.count_if(reason.isNull() & F.col("overheat")).alias("overheat_kept"),
         F.count_if(reason.isNull()).alias("written"),
-    )
+    ]
+
+
+def stage_counters(marked: DataFrame) -> DataFrame:
+    """What each stage did, in one pass over marked rows."""
+    return marked.agg(*stage_measures())
 
 
 def feed_counters(sent: DataFrame) -> DataFrame:

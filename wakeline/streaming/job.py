@@ -26,7 +26,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,6 +35,7 @@ from wakeline.functions import rules as R
 from wakeline.operators.arrivals import (
     SOURCES,
     reached_watermark,
+    released_watermark,
     seen_sources,
     with_arrival_watermark,
 )
@@ -45,12 +46,15 @@ from wakeline.operators.minutes import (
     merge_partials,
     partial_minutes,
 )
-from wakeline.operators.reports import stage_counters
+from wakeline.operators.reports import stage_measures
 from wakeline.plans.replay import detail_columns, rejected_columns
+from wakeline.schema import DETAIL
 from wakeline.settings import Rules, seconds
 from wakeline.sources import storage
 from wakeline.sources.staging import dropped_after
 from wakeline.sources.wire import parse
+from wakeline.streaming.idle import RELEASED, with_releases
+from wakeline.streaming.progress import progress_log
 
 ACCEPTED = T.StructType(
     [
@@ -63,16 +67,29 @@ ACCEPTED = T.StructType(
 )
 # Times of the job itself are epoch milliseconds, which no session zone touches.
 BEGUN = "at_ms BIGINT"
+# ``sources_of`` and ``minutes_of`` name the batches whose state is the current one: a batch
+# without messages leaves it where it is. ``idle`` lists the partitions released and not
+# heard of since.
 # ``recent`` lists the folders of accepted ids still remembered. Two of one level are
 # merged into the next batch's, so their number is the logarithm of that of the batches.
 COMMIT = (
     "watermark_ms BIGINT, recent ARRAY<STRUCT<batch_id: BIGINT, at_ms: BIGINT, level: INT>>, "
-    "fingerprint BIGINT, "
+    "idle ARRAY<INT>, sources_of BIGINT, minutes_of BIGINT, fingerprint BIGINT, "
     "ingested BIGINT, parse_failed BIGINT, decoded BIGINT, late_dropped BIGINT, "
     "late_accepted BIGINT, dedup_dropped BIGINT, defect_dropped BIGINT, "
     "overheat_kept BIGINT, written BIGINT"
 )
 POSITION = ["kafka_partition", "kafka_offset"]
+# Counters of a batch, in the commit.
+STAGES = (
+    "decoded",
+    "late_dropped",
+    "late_accepted",
+    "dedup_dropped",
+    "defect_dropped",
+    "overheat_kept",
+    "written",
+)
 
 
 def now_ms() -> int:
@@ -152,6 +169,17 @@ class QualityJob:
     def process(self, messages: DataFrame, batch_id: int) -> None:
         """One micro-batch; call it again with the same id and messages and nothing changes."""
         self._claim(take_over=False)
+        if RELEASED not in messages.columns:
+            return self._process_once(messages, None, batch_id)
+        # Computed once: what is behind the releases keeps state of its own.
+        rows = messages.persist()
+        try:
+            released = rows.where(RELEASED)
+            self._process_once(rows.where(~F.col(RELEASED)).drop(RELEASED), released, batch_id)
+        finally:
+            rows.unpersist()
+
+    def _process_once(self, messages: DataFrame, released: DataFrame | None, batch_id: int) -> None:
         done = self.commit_of(batch_id)
         if done:
             print_of = self._positioned(messages, 0).agg(self._fingerprint()).first()[0]
@@ -165,7 +193,7 @@ class QualityJob:
         if before is None:
             self._refuse_other_batches(batch_id)
         with dropped_after(self.spark):
-            self._process(messages, batch_id, before)
+            self._process(messages, released, batch_id, before)
 
     def _refuse_other_batches(self, batch_id: int) -> None:
         """Without a commit right before it, a batch must be the first of an empty job."""
@@ -177,10 +205,10 @@ class QualityJob:
         if batch_id > 0:
             raise RuntimeError(f"batch {batch_id - 1} was never committed in {self.root}")
 
-    def _process(self, messages: DataFrame, batch_id: int, before) -> None:
+    def _process(self, messages: DataFrame, released: DataFrame | None, batch_id: int, before) -> None:
         at = self._begin(batch_id)
         watermark = before["watermark_ms"] if before else None
-        earlier = self._read("state/sources", SOURCES, batch_id - 1) if before else None
+        earlier = self._read("state/sources", SOURCES, before["sources_of"]) if before else None
 
         parsed = parse(self._positioned(messages, at)).persist()
         tagged = self._tagged(parsed.where("is_object"), earlier, watermark).persist()
@@ -190,35 +218,71 @@ class QualityJob:
                 self._fingerprint().alias("fingerprint"),
                 F.unix_millis(F.min("proc_time")).alias("first_ms"),
                 F.unix_millis(F.max("proc_time")).alias("last_ms"),
+                F.collect_set("kafka_partition").alias("heard"),
             ).first()
+            idle = self._idle(released, before, came["heard"])
+            if before and not came["ingested"]:
+                self._commit(batch_id, came, self._quiet(idle, before, batch_id))
+                return
             recent = self._accept(tagged, before["recent"] if before else [], came, batch_id)
             mine = self._read("state/accepted", ACCEPTED, batch_id).where(
                 F.col("by_batch") == batch_id
             )
             marked = self._marked(tagged, mine).persist()
             try:
-                self._write_results(marked, batch_id)
-                reached = self._advance(marked, earlier, watermark, batch_id)
-                self._close_minutes(marked, reached, batch_id)
-                counters = stage_counters(marked).first().asDict()
+                counters = self._write_results(marked, batch_id)
+                settled = counters.pop("settled_ms")
+                reached = self._advance(marked, earlier, watermark, settled, batch_id)
+                reached = self._past_idle(idle, batch_id, reached)
+                self._close_minutes(marked, reached, before, batch_id)
             finally:
                 marked.unpersist()
         finally:
             tagged.unpersist()
             parsed.unpersist()
+        state = {"watermark_ms": reached, "recent": recent, "idle": idle}
+        self._commit(batch_id, came, {**state, "sources_of": batch_id, "minutes_of": batch_id, **counters})
 
-        commit = {
-            "watermark_ms": reached,
-            "recent": recent,
+    def _commit(self, batch_id: int, came, commit: dict) -> None:
+        counted_rows = {
             "fingerprint": came["fingerprint"],
             "ingested": came["ingested"],
-            "parse_failed": came["ingested"] - counters["decoded"],
-            **counters,
+            "parse_failed": came["ingested"] - commit["decoded"],
         }
-        row = self._one_row().select(F.from_json(F.lit(json.dumps(commit)), COMMIT).alias("c"))
+        text = F.lit(json.dumps({**commit, **counted_rows}))
+        row = self._one_row().select(F.from_json(text, COMMIT).alias("c"))
         self._claim(take_over=False)
         self._write(row.select("c.*"), "commits", batch_id)
 
+    def _idle(self, released: DataFrame | None, before, heard: list[int]) -> list[int]:
+        """Partitions that are idle after this batch; a row or less of each comes here."""
+        known = set(before["idle"]) if before else set()
+        if released is not None:
+            known |= {row[0] for row in released.select("kafka_partition").distinct().collect()}
+        return sorted(known - set(heard))
+
+    def _quiet(self, idle: list[int], before, batch_id: int) -> dict:
+        """A batch without messages: partitions may go idle, and minutes close by that."""
+        commit = {name: 0 for name in STAGES} | {
+            name: before[name] for name in ("watermark_ms", "sources_of", "minutes_of")
+        }
+        commit |= {"recent": [past.asDict() for past in before["recent"]], "idle": idle}
+        if idle == before["idle"]:
+            return commit
+        reached = self._past_idle(idle, before["sources_of"], before["watermark_ms"])
+        if reached != before["watermark_ms"]:
+            parts = self._read("state/open_minutes", self._parts_schema(), before["minutes_of"])
+            self._split_minutes(parts, reached, batch_id)
+            commit |= {"watermark_ms": reached, "minutes_of": batch_id}
+        return commit
+
+    def _past_idle(self, idle: list[int], sources_of: int, reached: int | None) -> int | None:
+        """The watermark with the idle partitions no longer holding it back."""
+        if not idle:
+            return reached
+        sources = self._read("state/sources", SOURCES, sources_of)
+        return released_watermark(sources, idle, reached, self.rules)
+
     def _positioned(self, messages: DataFrame, at: int) -> DataFrame:
         print_of = F.pmod(F.xxhash64(*messages.columns), F.lit(1 << 31))
         rows = messages.withColumn("_print", print_of)
@@ -296,63 +360,89 @@ class QualityJob:
         later = F.when(F.col("is_first").isNull(), R.DUPLICATE)
         return marked.withColumn("reason", F.coalesce("reject_reason", later))
 
-    def _write_results(self, marked: DataFrame, batch_id: int) -> None:
+    def _write_results(self, marked: DataFrame, batch_id: int) -> dict:
+        """Write both tables; what each stage did is counted on the rows as they pass."""
         kept = F.col("reason").isNull()
-        self._write(detail_columns(marked.where(kept)), "detail", batch_id)
-        self._write(rejected_columns(marked.where(~kept)), "rejected", batch_id)
+        settled = F.unix_millis(F.max("settled")).alias("settled_ms")
+        counted_rows = []
+        for table, rows, columns in (
+            ("detail", marked.where(kept), detail_columns),
+            ("rejected", marked.where(~kept), rejected_columns),
+        ):
+            seen = Observation()
+            self._write(columns(rows.observe(seen, *stage_measures(), settled)), table, batch_id)
+            counted_rows.append(seen.get)
+        ends = [seen.pop("settled_ms") for seen in counted_rows]
+        totals = {name: sum(seen[name] for seen in counted_rows) for name in counted_rows[0]}
+        return {**totals, "settled_ms": max((ms for ms in ends if ms is not None), default=None)}
 
     def _advance(
         self,
         marked: DataFrame,
         earlier: DataFrame | None,
         watermark: int | None,
+        settled: int | None,
         batch_id: int,
     ) -> int | None:
         self._write(seen_sources(marked, earlier, self.rules), "state/sources", batch_id)
         sources = self._read("state/sources", SOURCES, batch_id)
-        settled = marked.agg(F.unix_millis(F.max("settled"))).first()[0]
         known = [ms for ms in (settled, watermark) if ms is not None]
         return reached_watermark(sources, max(known, default=None), self.rules)
 
-    def _close_minutes(self, marked: DataFrame, reached: int | None, batch_id: int) -> None:
+    def _close_minutes(self, marked: DataFrame, reached: int | None, before, batch_id: int) -> None:
         entered = marked.where(
             F.col("reason").isNull() & counted(F.col("watermark"), self.rules)
         )
         parts = partial_minutes(entered, self.rules)
-        if batch_id > 0:
+        if before:
             parts = parts.unionByName(
-                self._read("state/open_minutes", parts.schema, batch_id - 1)
+                self._read("state/open_minutes", parts.schema, before["minutes_of"])
             )
         merged = merge_partials(parts).select(*parts.columns).persist()
-        closed = F.coalesce(F.col("window_end") <= _moment(reached), F.lit(False))
         try:
-            self._write(finish_partials(merged.where(closed)), "minutes", batch_id)
-            self._write(merged.where(~closed), "state/open_minutes", batch_id)
+            self._split_minutes(merged, reached, batch_id)
         finally:
             merged.unpersist()
 
+    def _split_minutes(self, parts: DataFrame, reached: int | None, batch_id: int) -> None:
+        closed = F.coalesce(F.col("window_end") <= _moment(reached), F.lit(False))
+        self._write(finish_partials(parts.where(closed)), "minutes", batch_id)
+        self._write(parts.where(~closed), "state/open_minutes", batch_id)
+
+    def _parts_schema(self) -> T.StructType:
+        rows = self.spark.createDataFrame([], T.StructType([*DETAIL.fields]))
+        return partial_minutes(rows, self.rules).schema
+
     def start(
         self,
         stream: DataFrame,
         name: str = "telemetry-quality",
         every: str = "30 seconds",
         available_now: bool = False,
+        release_idle: bool = False,
     ) -> StreamingQuery:
         """Start the query; a second one of the same name, or of another driver, is refused.
 
-        Its checkpoint lives in the job's folder, so starting again resumes it.
+        Its checkpoint lives in the job's folder, so starting again resumes it. With
+        ``release_idle`` every trigger runs a batch, and partitions silent for the idle
+        time are released although no message arrives; the stream needs positions and the
+        session the RocksDB state store. A job keeps or leaves that choice for good.
         """
         if any(query.name == name for query in self.spark.streams.active):
             raise RuntimeError(f"query {name!r} is already running")
         self._claim(take_over=True)
+        progress = progress_log(self.spark)
+        if release_idle:
+            stream = with_releases(stream, self.rules)
         writer = (
             stream.writeStream.queryName(name)
             .option("checkpointLocation", f"{self.root}/checkpoint")
             .foreachBatch(self.process)
         )
-        if available_now:
-            return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=every).start()
+        trigger = {"availableNow": True} if available_now else {"processingTime": every}
+        query = writer.trigger(**trigger).start()
+        progress.follow(query.runId, self.root)
+        return query
 
     def run(
         self,

@@ -137,12 +137,12 @@ def expire_state(spark: SparkSession, root: str) -> int:
     if last < 0:
         return 0
     path = f"{root}/commits/batch_id={last}"
-    commit = spark.read.schema(COMMIT).parquet(path).select("recent").first()
+    commit = spark.read.schema(COMMIT).parquet(path).first()
     remembered = {past["batch_id"] for past in commit["recent"]}
     keep = {
         "state/accepted": lambda batch_id: batch_id in remembered,
-        "state/sources": lambda batch_id: False,
-        "state/open_minutes": lambda batch_id: False,
+        "state/sources": lambda batch_id: batch_id == commit["sources_of"],
+        "state/open_minutes": lambda batch_id: batch_id == commit["minutes_of"],
         "begun": lambda batch_id: False,
         "commits": lambda batch_id: False,
     }
