@@ -67,3 +67,57 @@ def test_one_row_of_each_group_stays(spark):
     rest = Counter(x for x in kept if not (x[1] or "").startswith(two))
     assert rest == Counter([(1, one), (None, three), (5, four), (6, five), (8, ""), (9, None)])
     assert corpus_pipeline.near_duplicates(spark, texts(spark, []), "").count() == 0
+
+
+LANGUAGES = {"aa": "abcdefgh", "bb": "mnopqrst", "cc": "uvwxyzäö"}
+
+
+def spoken(rng, lang, count=40):
+    return " ".join("".join(rng.choices(LANGUAGES[lang], k=rng.randint(2, 7))) for _ in range(count))
+
+
+def test_language_judges_each_row(spark):
+    """Junk goes and texts stay, also where they share an id or have none."""
+    rng = random.Random(1)
+    rows = [(i, spoken(rng, lang), lang, "s", 0) for i, lang in enumerate(["aa", "bb", "cc"] * 30)]
+    good = [(500, spoken(rng, "aa"), None, "s", 0), (None, spoken(rng, "bb"), None, "s", 0)] * 2
+    junk = [(500, "!!", "aa", "s", 0), (None, "12 34", "bb", "s", 0), (600, None, "aa", "s", 0), (601, "", None, "s", 0)]
+    docs = spark.createDataFrame(rows + good + junk, SCHEMA).repartition(4)
+    got = Counter(tuple(r) for r in corpus_pipeline.language(spark, docs, "").collect())
+    assert got == Counter(rows + good)
+    assert corpus_pipeline.language(spark, docs, "").columns == list(corpus_pipeline.COLUMNS)
+    assert corpus_pipeline.language(spark, docs.filter("false"), "").count() == 0
+
+
+def test_decontamination_judges_each_row(spark, tmp_path):
+    rng = random.Random(2)
+    item = spoken(rng, "aa", 30)
+    spark.createDataFrame([(1, item, 7)], "item_id long, text string, n_chars int").write.parquet(
+        str(tmp_path / "benchmark.parquet")
+    )
+    good, bad = spoken(rng, "bb"), f"{spoken(rng, 'cc', 9)} {item}"
+    rows = [(1, good, "s"), (1, bad, "s"), (None, good, "s"), (None, bad, "s"), (2, None, "s"), (3, "", "t")]
+    docs = texts(spark, rows + rows)
+    got = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert got.columns == list(corpus_pipeline.COLUMNS)
+    assert Counter((r.doc_id, r.text, r.source) for r in got.collect()) == Counter(
+        2 * [x for x in rows if x[1] != bad]
+    )
+    assert corpus_pipeline.decontamination(spark, texts(spark, []), str(tmp_path)).count() == 0
+
+
+def test_run_chains_all_stages(spark, tmp_path):
+    """Clean rows come through; junk, a near copy and a leak do not."""
+    rng = random.Random(3)
+    item = spoken(rng, "bb", 25)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = [(i, spoken(rng, lang), lang, "s", 0) for i, lang in enumerate(["aa", "bb", "cc"] * 20)]
+    copy = (100, f"{kept[4][1]} {spoken(rng, 'bb', 1)}", "bb", "s", 0)
+    gone = [(101, f"{item} {spoken(rng, 'bb', 9)}", "bb", "s", 0), (102, "?? 5", "aa", "s", 0), (103, None, None, None, 0)]
+    spark.createDataFrame([*kept, copy, *gone], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(set(r.doc_id for r in got)) == list(range(60))
+    assert sum(r.n_tokens for r in got) == max(r.start + r.n_tokens for r in got)
+    spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0

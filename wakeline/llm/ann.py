@@ -6,9 +6,11 @@ is indexed: it goes to the list of its nearest centroid, and a vector near a bou
 to the lists of others not farther than BOUNDARY times that distance, at most COPIES of
 them. Centroids are searched through a graph of their neighbours that each task holds in
 memory (beam search, all vectors of a batch in step). A query searches all lists whose
-centroid is not farther than a ratio times the nearest one. The ratio is found from the
-data: a sample of SAMPLED queries is answered by brute force, and it is the least at which
-their lists hold the share RECALL of those answers. No number of lists bounds a search.
+centroid is not farther than a ratio times the nearest one; its beam grows until it has
+passed that. The ratio is found from the data: a sample of SAMPLED queries is answered by
+brute force, and it is the least at which their lists hold the share RECALL of those
+answers. No number of lists bounds a search. The FIRST lists of a query are searched before
+the others, which then give only what is at least as near as the worst of its answers.
 
 Inner product becomes distance by one more component that gives all vectors the norm of
 the longest. Equal vectors are one entry with its smallest ids, as many as an answer can
@@ -43,6 +45,7 @@ BOUNDARY, COPIES = 1.1, 4
 SAMPLED, RECALL = 512, 0.98
 PART_ROWS = 4000
 SPARE = 8
+FIRST = 8
 
 
 @dataclass
@@ -91,6 +94,22 @@ class Centroids:
             beam, far, done = beam[everyone, order], far[everyone, order], done[everyone, order]
         return beam[:, :most], far[:, :most]
 
+    def within(self, vectors: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All centroids within ``ratio`` of the nearest: rows, centroids and their places.
+
+        The beam doubles for the rows whose farthest centroid found is still within.
+        """
+        out, left, most = [], np.arange(len(vectors)), BEAM
+        while len(left):
+            most = min(most, len(self.points))
+            ids, far = self.search(vectors[left], most)
+            near = np.isfinite(far) & (far <= far[:, :1] * ratio + 1e-12 if np.isfinite(ratio) else True)
+            ended = ~near[:, -1] if most < len(self.points) else np.ones(len(left), bool)
+            row, place = np.nonzero(near & ended[:, None])
+            out.append((left[row], ids[row, place], place))
+            left, most = left[~ended], 2 * most
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
     def distances(self, vectors: np.ndarray) -> np.ndarray:
         """Distances of each vector to all centroids."""
         squares = (vectors**2).sum(1)[:, None] + (self.points**2).sum(1) - 2 * vectors @ self.points.T
@@ -161,15 +180,17 @@ def _assigner(centroids: Centroids):
 
 
 def _chooser(centroids: Centroids, ratio: float):
-    """Queries to all lists within ``ratio`` of the nearest centroid."""
+    """The lists that each query searches, by rising distance."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
-                far = centroids.distances(centroids.lifted(_matrix(part.column(1)), True))
-                most = far.min(1, keepdims=True) * ratio + 1e-12 if np.isfinite(ratio) else np.inf
-                yield _posted(part, *np.nonzero(far <= most))
+                row, lists, place = centroids.within(centroids.lifted(_matrix(part.column(1)), True), ratio)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(lists), pa.array(place)],
+                    ["query", "list", "place"],
+                )
 
     return choose
 
@@ -250,19 +271,15 @@ def _nearest(most: int):
             smallest = np.asarray(left["smallest"])
             order = np.argsort(smallest, kind="stable")
             entries, vectors, smallest = entries[order], vectors[order], smallest[order]
-            queries, asked = np.asarray(right["entry"]), _matrix(right["vector"])
+            queries, asked = np.asarray(right["query"]), _matrix(right["vector"])
+            least = np.asarray(right["least"])
             for first in range(0, len(asked), 256):
                 scores = asked[first : first + 256] @ vectors.T
                 best = np.argsort(-scores, axis=1, kind="stable")[:, :most]
-                size = best.shape[1]
-                out.append(
-                    (
-                        np.repeat(queries[first : first + 256], size),
-                        entries[best].ravel(),
-                        np.take_along_axis(scores, best, 1).ravel(),
-                        smallest[best].ravel(),
-                    )
-                )
+                near = np.take_along_axis(scores, best, 1)
+                row, place = np.nonzero(near >= least[first : first + 256, None])
+                held = best[row, place]
+                out.append((queries[first + row], entries[held], near[row, place], smallest[held]))
         columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[], [], [], []]
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
         names = ["query", "entry", "near", "smallest"]
@@ -331,44 +348,63 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 20, recall: float
     )
     one_each = asked.select("query").distinct().join(entries, F.col("query") == F.col("entry"))
     ratio = _binding_ratio(centroids, entries, posted, one_each, k, recall)
-    searches = one_each.select("entry", "vector").mapInArrow(
-        _chooser(centroids, ratio), "entry long, vector array<double>, list long"
+    searches = staged(
+        one_each.select("entry", "vector").mapInArrow(
+            _chooser(centroids, ratio), "query long, list long, place long"
+        ),
+        "searches",
     )
-    found = staged(_searched(posted, parts, searches, k), "found")
+    early = F.col("place") < FIRST
+    near = staged(_searched(posted, parts, _asked(searches.filter(early), entries), k), "near")
+    rest = _asked(searches.filter(~early), entries, _worst(near, k))
+    found = staged(_best(near.unionAll(_searched(posted, parts, rest, k)), k).select("query", "entry"), "found")
     # Queries with too few candidates search every list.
     held = found.groupBy("query").agg(F.count("*").alias("held"))
     enough = min(k + 1, total)
     poor = asked.select("query").distinct().join(held.filter(F.col("held") >= enough), "query", "left_anti")
     if not poor.isEmpty():
-        every = (
-            poor.join(entries, F.col("query") == F.col("entry"))
-            .select("entry", "vector")
-            .withColumn("list", F.explode(F.expr(f"sequence(0L, {len(centroids.points) - 1}L)")))
-        )
-        again = _searched(posted, parts, every, k)
+        every = poor.withColumn("list", F.explode(F.expr(f"sequence(0L, {len(centroids.points) - 1}L)")))
+        again = _searched(posted, parts, _asked(every, entries), k)
         found = staged(found.join(poor, "query", "left_anti").unionAll(again.select(found.columns)), "found")
     return _answers(found, entries, asked, k)
 
 
+def _asked(searches: DataFrame, entries: DataFrame, worst: DataFrame | None = None) -> DataFrame:
+    """Searches of a list with the query's vector, and the least product worth returning."""
+    vectors = entries.select(F.col("entry").alias("query"), "vector")
+    rows = searches.select("query", "list").join(vectors, "query")
+    if worst is None:
+        return rows.withColumn("least", F.lit(float("-inf")))
+    least = F.coalesce("least", F.lit(float("-inf")))
+    return rows.join(worst, "query", "left").withColumn("least", least)
+
+
+def _worst(near: DataFrame, k: int) -> DataFrame:
+    """The worst product of the queries that already have as many answers as are kept."""
+    rows = near.groupBy("query").agg(F.min("near").alias("least"), F.count("*").alias("held"))
+    return rows.filter(F.col("held") >= k + 1 + SPARE).select("query", "least")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The best entries of each query, with some to spare for the exact order."""
+    once = found.groupBy("query", "entry", "smallest").agg(F.max("near").alias("near"))
+    order = Window.partitionBy("query").orderBy(F.desc("near"), "smallest")
+    kept = once.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1 + SPARE)
+    return kept.select("query", "entry", "near", "smallest")
+
+
 def _searched(posted: DataFrame, parts: DataFrame, searches: DataFrame, k: int) -> DataFrame:
-    """The best entries of each query over all its lists: query, entry."""
+    """The best entries of each query over the lists it searches: query, entry, near, smallest."""
     split = posted.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("entry"), "parts"))
     asked = searches.join(parts, "list").withColumn(
         "part", F.explode(F.expr("sequence(0L, parts - 1L)"))
     )
-    best = (
+    return _best(
         split.select("list", "part", "entry", "vector", "smallest")
         .groupBy("list", "part")
-        .cogroup(asked.select("list", "part", "entry", "vector").groupBy("list", "part"))
-        .applyInArrow(_nearest(k + 1 + SPARE), "query long, entry long, near double, smallest long")
-        .groupBy("query", "entry", "smallest")
-        .agg(F.max("near").alias("near"))
-    )
-    order = Window.partitionBy("query").orderBy(F.desc("near"), "smallest")
-    return (
-        best.withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") <= k + 1 + SPARE)
-        .select("query", "entry")
+        .cogroup(asked.select("list", "part", "query", "vector", "least").groupBy("list", "part"))
+        .applyInArrow(_nearest(k + 1 + SPARE), "query long, entry long, near double, smallest long"),
+        k,
     )
 
 

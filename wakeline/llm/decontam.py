@@ -1,15 +1,20 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a window of SPAN words of which a fixed mask looks at some and ignores the
-rest, so that a seed still matches where words were substituted at ignored places. The
-seeds of the benchmark's items form a table of bounded size that goes to every task;
-training texts stream past it, are never shuffled, and each hit is verified: along its
-diagonal, the best stretch of equal words, in which a substitution costs PENALTY equal
-ones, must hold LEAST_WORDS equal words, or all words of a shorter item.
+A seed is a window of words of which a fixed mask looks at some and ignores the rest, so
+that a seed still matches where words were substituted at ignored places. Long items use
+wide, heavy masks, shorter ones narrow and light ones (``masks_of``). Seeds of items and
+of training texts are joined by their hash; a hit lays the item over the text at one
+shift, and each such pair is verified word by word. It is an overlap if
 
-A larger benchmark is taken in blocks of at most ITEM_WORDS words, one pass over the
-training texts for each; an item longer than that is a block of its own. Items of fewer
-than SPAN words are matched whole, items of fewer than LEAST_ITEM words never.
+* the best stretch, in which a substitution costs PENALTY equal words, holds LEAST_WORDS
+  equal words and scores LEAST_SCORE, or
+* of an item of at least TOLERANT words, the share SHARE is equal at that shift, or
+* all words of a shorter item are equal. Items of fewer than LEAST_ITEM words say too
+  little inside a text: they match only a text that consists of them.
+
+Texts stream past a bitmap of the items' seeds (at most 32 MB, its size follows the seeds),
+and only seeds in it are joined. Texts are known by a hash of theirs, so copies are looked
+at once; of the texts themselves only those with a hit are shuffled, to be verified.
 
 Null and empty texts and items match nothing. Repeated training rows are reported each;
 repeated items once for each row. Words are runs without white space, A-Z lower-cased.
@@ -21,153 +26,257 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.llm.folding import Bitmap, bitmap
 from wakeline.llm.words import mix, words
+from wakeline.sources.staging import staged
 
-MASKS = ("1101101011", "1011011101", "1110010111", "1101110011")
-SPAN = len(MASKS[0])
+LIGHT = ("1111", "11011")
+MIDDLE = ("11111", "110111", "1011011")
+HEAVY = ("1101101011", "1011011101", "1110010111", "1101110011")
+LEAST_ITEM, TOLERANT, MEDIUM, LONG = 5, 8, 12, 32
+SHARE = 0.8
 LEAST_WORDS = 13
-LEAST_ITEM = 5
 PENALTY = 3
 LEAST_SCORE = 8
-ITEM_WORDS = 1 << 20
-_BITS = 22
+# Items found in one text are verified in so many parts, each a row.
+PARTS = 8
+
+_MASKS = (*HEAVY, *MIDDLE, *LIGHT, *("1" * n for n in range(1, TOLERANT)))
+_PLACES = np.random.default_rng(7).integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
+_FOUND = "item_id long, doc_first long, doc_end long, item_first long, item_end long, equal_words long, score long"
+SCHEMA = f"doc_id long, {_FOUND}"
+
 
-_PLACES = np.random.default_rng(7).integers(1, 1 << 63, SPAN, dtype=np.uint64) | np.uint64(1)
-SCHEMA = (
-    "doc_id long, item_id long, doc_first long, doc_end long, "
-    "item_first long, item_end long, equal_words long, score long"
-)
+def masks_of(size: int) -> tuple[str, ...]:
+    """The masks for an item of ``size`` words; an item of few words is a seed as a whole."""
+    if size >= LONG:
+        return HEAVY
+    if size >= MEDIUM:
+        return MIDDLE
+    if size >= TOLERANT:
+        return LIGHT
+    return ("1" * size,) if size else ()
 
 
-def _keys(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:
+def _keys(hashes: np.ndarray, mask: str, whole: bool = False) -> np.ndarray:
     """One value for each window as long as the mask, over the places it looks at."""
-    count = len(hashes) - len(mask) + 1
-    total = np.full(max(count, 0), salt, np.uint64)
+    count = max(len(hashes) - len(mask) + 1, 0)
+    total = np.full(count, 2 * _MASKS.index(mask) + whole, np.uint64)
     for k, look in enumerate(mask):
-        if look == "1" and count > 0:
+        if look == "1" and count:
             total += hashes[k : k + count] * _PLACES[k]
     return mix(total)
 
 
-class Seeds:
-    """Seeds of some items: sorted values with the item and place of each, and a bitmap."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.ids = [i for i, _ in items]
-        self.words = [w for _, w in items]
-        self.shapes = list(MASKS)
-        short = {len(w) for w in self.words if LEAST_ITEM <= len(w) < SPAN}
-        self.shapes += ["1" * size for size in sorted(short)]
-        values, owners, places = [], [], []
-        for salt, shape in enumerate(self.shapes):
-            for at, own in enumerate(self.words):
-                if salt < len(MASKS) if len(own) >= SPAN else len(shape) == len(own):
-                    keys = _keys(own, shape, salt)
-                    values.append(keys)
-                    owners.append(np.full(len(keys), at))
-                    places.append(np.arange(len(keys)))
-        join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.empty(0, kind)
-        values = join(values, np.uint64)
-        order = np.argsort(values, kind="stable")
-        self.values = values[order]
-        self.owners = join(owners, np.int64)[order]
-        self.places = join(places, np.int64)[order]
-        self.known = np.zeros(1 << _BITS, bool)
-        self.known[self.values >> np.uint64(64 - _BITS)] = True
-
-    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places in the text, items, and places in the items of all seeds that match."""
-        found = []
-        for salt, shape in enumerate(self.shapes):
-            keys = _keys(hashes, shape, salt)
-            at = np.flatnonzero(self.known[keys >> np.uint64(64 - _BITS)])
-            low = np.searchsorted(self.values, keys[at], "left")
-            many = np.searchsorted(self.values, keys[at], "right") - low
-            rows = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            found.append((np.repeat(at, many), self.owners[rows], self.places[rows]))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-    def verified(self, text: np.ndarray, own: np.ndarray, shift: int) -> tuple | None:
-        """The best stretch of an item laid over a text at ``shift``, if it is long enough."""
-        first, end = max(0, -shift), min(len(own), len(text) - shift)
-        same = text[first + shift : end + shift] == own[first:end]
-        sums = np.concatenate(([0], np.cumsum(np.where(same, 1, -PENALTY))))
-        lowest = np.minimum.accumulate(sums)
-        stop = int(np.argmax(sums - lowest))
-        start = int(np.flatnonzero(sums[: stop + 1] == lowest[stop])[-1])
-        equal, score = int(same[start:stop].sum()), int(sums[stop] - lowest[stop])
-        if len(own) < LEAST_WORDS:
-            good = equal == len(own)
-        else:
-            good = equal >= LEAST_WORDS and score >= LEAST_SCORE
-        at = first + start
-        return (at + shift, at + shift + stop - start, at, at + stop - start, equal, score) if good else None
-
-
-def _matcher(seeds: Seeds):
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, rows = batch.column(0), []
-            for found in words(batch.column(1)):
-                at, items, places = seeds.hits(found.hashes)
-                owner = np.searchsorted(found.bounds, at, "right") - 1
-                lines = np.unique(np.stack([owner, items, at - found.bounds[owner] - places], 1), axis=0)
-                best: dict[tuple[int, int], tuple] = {}
-                for row, item, shift in lines.tolist():
-                    text = found.hashes[found.bounds[row] : found.bounds[row + 1]]
-                    got = seeds.verified(text, seeds.words[item], shift)
-                    if got and (old := best.get((row, item), got))[-1] <= got[-1]:
-                        best[row, item] = old if old[-1] == got[-1] else got
-                rows += [
-                    (ids[found.first_row + row].as_py(), seeds.ids[item], *got)
-                    for (row, item), got in best.items()
-                ]
-            if rows:
-                names = [part.split()[0] for part in SCHEMA.split(", ")]
-                columns = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    return match
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Seeds of items: key, item, place."""
+    for batch in batches:
+        owners, keys, places = [], [], []
+        items = np.array(batch.column(0))
+        for row, data in enumerate(batch.column(1).to_pylist()):
+            own = np.frombuffer(data, np.uint64)
+            for mask in masks_of(len(own)):
+                found = _keys(own, mask, len(own) < LEAST_ITEM)
+                owners.append(np.full(len(found), items[row]))
+                keys.append(found)
+                places.append(np.arange(len(found)))
+        if keys:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(keys).view(np.int64)),
+                    pa.array(np.concatenate(owners)),
+                    pa.array(np.concatenate(places)),
+                ],
+                ["key", "item", "at_item"],
+            )
 
 
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [
             found.hashes[a:b].tobytes()
-            for found in words(batch.column(1))
+            for found in words(batch.column(2))
             for a, b in zip(found.bounds, found.bounds[1:], strict=False)
         ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["item_id", "words"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["item", "item_id", "words"]
+        )
+
+
+def _hits(known: Bitmap, masks: list[str], whole: list[int]):
+    """Seeds of texts that the bitmap of items' seeds holds, of each text in a batch once."""
+
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.array(batch.column(0))
+            _, once = np.unique(keys, return_index=True)
+            batch, keys = batch.take(pa.array(np.sort(once))), keys[np.sort(once)]
+            for found in words(batch.column(1)):
+                sizes = np.diff(found.bounds)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                for mask in masks:
+                    seeds = _keys(found.hashes, mask)
+                    last = row[len(mask) - 1 :]
+                    at = np.flatnonzero(known.holds(seeds) & (row[: len(seeds)] == last))
+                    if len(at):
+                        yield _hit_rows(keys[found.first_row + row[at]], seeds[at], at - found.bounds[row[at]])
+                for size in whole:
+                    own = np.flatnonzero(sizes == size)
+                    seeds = _keys(found.hashes, "1" * size, True)[found.bounds[own]] if len(own) else own
+                    at = own[known.holds(seeds)] if len(own) else own
+                    if len(at):
+                        seeds = seeds[known.holds(seeds)]
+                        yield _hit_rows(keys[found.first_row + at], seeds, np.zeros(len(at), np.int64))
+
+    return hit
+
+
+def _hit_rows(texts: np.ndarray, seeds: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array(seeds.view(np.int64)), pa.array(places)], ["text_key", "key", "at_text"]
+    )
+
+
+def verified(text: np.ndarray, own: np.ndarray, shift: int) -> tuple | None:
+    """What an item, laid over a text at ``shift``, has in common with it, if that is enough."""
+    first, end = max(0, -shift), min(len(own), len(text) - shift)
+    same = text[first + shift : end + shift] == own[first:end]
+    if len(own) < LEAST_ITEM and len(text) != len(own):
+        return None
+    if not len(same):
+        return None
+    sums = np.concatenate(([0], np.cumsum(np.where(same, 1, -PENALTY))))
+    lowest = np.minimum.accumulate(sums)
+    stop = int(np.argmax(sums - lowest))
+    start = int(np.flatnonzero(sums[: stop + 1] == lowest[stop])[-1])
+    equal, score = int(same[start:stop].sum()), int(sums[stop] - lowest[stop])
+    if equal < LEAST_WORDS or score < LEAST_SCORE:
+        start, stop, equal = 0, len(same), int(same.sum())
+        score = equal - PENALTY * (stop - equal)
+        if equal < (SHARE * len(own) if len(own) >= TOLERANT else len(own)):
+            return None
+    at = first + start
+    return at + shift, at + shift + stop - start, at, at + stop - start, equal, score
+
+
+_STRETCH = "text_key long, " + _FOUND
+
+
+def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each text and item the best overlap."""
+    names = [part.split()[0] for part in _STRETCH.split(", ")]
+    for batch in batches:
+        rows = []
+        for found in words(batch.column(1)):
+            for k, (a, b) in enumerate(zip(found.bounds, found.bounds[1:], strict=False)):
+                text = found.hashes[a:b]
+                key = batch.column(0)[found.first_row + k].as_py()
+                best: dict[int, tuple] = {}
+                for hit in batch.column(2)[found.first_row + k].as_py():
+                    got = verified(text, np.frombuffer(hit["words"], np.uint64), hit["shift"])
+                    if got and ((old := best.get(hit["item"])) is None or (got[4], got[5], -got[0]) > old[0]):
+                        best[hit["item"]] = ((got[4], got[5], -got[0]), hit["item_id"], got)
+                rows += [(key, item_id, *got) for _, item_id, got in best.values()]
+        if rows:
+            columns = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
 
+def _text_key() -> Column:
+    return F.xxhash64("text", F.length("text"))
 
-def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """Items as word hashes, in blocks of at most ``most`` words."""
-    hashed = items.select(F.col("item_id").cast("long"), "text").mapInArrow(
-        _item_words, "item_id long, words binary"
+
+def _in_bitmap(known: Bitmap, inside: bool):
+    """Rows whose first column, a hash, the bitmap holds, or does not hold."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = known.holds(_spread(np.array(batch.column(0))))
+            yield batch.filter(pa.array(held if inside else ~held))
+
+    return pick
+
+
+def _spread(keys: np.ndarray) -> np.ndarray:
+    return mix(keys.view(np.uint64))
+
+
+def _key_bitmap(texts: DataFrame) -> Bitmap:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = _spread(np.array(batch.column(0))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
+
+    return bitmap(texts.select("text_key").mapInArrow(spread, "key long"))
+
+
+def _sizes(items: DataFrame) -> list[int]:
+    """The kinds of items there are, by the number of words: at most LONG different ones."""
+    count = F.least(F.octet_length("words") / 8, F.lit(LONG)).cast("int")
+    return [row.n for row in items.select(count.alias("n")).distinct().collect()]
+
+
+def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per distinct text and item that overlap, the best stretch; texts by ``text_key``."""
+    items = staged(
+        benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long"), "text").mapInArrow(
+            _item_words, "item long, item_id long, words binary"
+        ),
+        "items",
+    )
+    sizes = _sizes(items)
+    seeds = staged(items.select("item", "words").mapInArrow(_seeds, "key long, item long, at_item long"), "seeds")
+    known = bitmap(seeds.select("key"))
+    masks = sorted({mask for size in sizes if size >= LEAST_ITEM for mask in masks_of(size)})
+    whole = sorted(size for size in sizes if 0 < size < LEAST_ITEM)
+    texts = documents.filter("text is not null").select(_text_key().alias("text_key"), "text")
+    shift = (F.col("at_text") - F.col("at_item")).alias("shift")
+    laid = (
+        texts.mapInArrow(_hits(known, masks, whole), "text_key long, key long, at_text long")
+        .join(seeds, "key")
+        .select("text_key", "item", shift)
+        .distinct()
+        .join(items, "item")
+        .groupBy("text_key", F.pmod(F.xxhash64("item"), F.lit(PARTS)).alias("part"))
+        .agg(F.collect_list(F.struct("item", "item_id", "shift", "words")).alias("hits"))
     )
-    block, size = [], 0
-    for row in hashed.toLocalIterator():
-        own = np.frombuffer(row.words, np.uint64)
-        if block and size + len(own) > most:
-            yield block
-            block, size = [], 0
-        block.append((row.item_id, own))
-        size += len(own)
-    yield block
-
-
-def leaks(documents: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS) -> DataFrame:
+    laid = staged(laid, "laid")
+    hit_texts = (
+        texts.mapInArrow(_in_bitmap(_key_bitmap(laid), True), "text_key long, text string")
+        .groupBy("text_key")
+        .agg(F.first("text").alias("text"))
+    )
+    return staged(
+        hit_texts.join(laid, "text_key").select("text_key", "text", "hits").mapInArrow(_verifier, _STRETCH),
+        "overlaps",
+    )
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item that overlap, with the best stretch.
 
     ``documents`` needs doc_id and text, ``benchmark`` item_id and text. Places count
     words from 0, ends exclusive.
     """
-    texts = documents.select(F.col("doc_id").cast("long"), "text")
-    found = [texts.mapInArrow(_matcher(Seeds(block)), SCHEMA) for block in _blocks(benchmark, item_words)]
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionAll(more)
-    return result
+    found = overlaps(documents, benchmark)
+    keyed = documents.filter("text is not null").select(F.col("doc_id").cast("long"), _text_key().alias("text_key"))
+    return keyed.join(found, "text_key").drop("text_key")
+
+
+def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` whose text overlaps no item, all columns as they are.
+
+    Rows are judged by their text alone, whatever ids they share. Only rows that a bitmap
+    of the overlapping texts lets through are shuffled.
+    """
+    found = overlaps(documents, benchmark).select("text_key").distinct()
+    known = _key_bitmap(found)
+    keyed = documents.select(F.coalesce(_text_key(), F.lit(0)).alias("_text_key"), *documents.columns)
+    apart = keyed.mapInArrow(_in_bitmap(known, False), keyed.schema)
+    suspect = keyed.mapInArrow(_in_bitmap(known, True), keyed.schema)
+    gone = found.select(F.col("text_key").alias("_text_key"), F.lit(True).alias("_leaks"))
+    kept = suspect.join(gone, "_text_key", "left").filter(F.col("_leaks").isNull() | F.col("text").isNull())
+    return apart.unionByName(kept.drop("_leaks")).drop("_text_key")

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeline.llm.words import row_chunks
 
@@ -168,8 +169,66 @@ def mixture(table: np.ndarray, rows: np.ndarray, buckets: np.ndarray) -> tuple[n
     return have, best
 
 
+def _judged(texts: pa.Array, letters: pa.Array, names: list[str], table: np.ndarray) -> tuple:
+    """Label, score and shares of each text; ``letters`` says which have one."""
+    size = len(texts)
+    shares = np.zeros((size, max(len(names), 1)), np.float64)
+    for first, rows, buckets in _grams(texts) if names else ():
+        if len(rows):
+            have, found = mixture(table, rows, buckets)
+            shares[first + have] = found
+    letters = np.array(letters.fill_null(False))
+    # A letter without an n-gram is judged like any other text: all shares equal.
+    blank = letters & (shares.sum(1) == 0)
+    shares[blank] = 1.0 / max(len(names), 1)
+    top = shares.argmax(1)
+    sure = letters & bool(names)
+    score = np.where(sure, np.clip(shares[np.arange(size), top], 0, 1), 0.0)
+    return [names[k] if good else "und" for k, good in zip(top, sure, strict=True)], score, shares, sure
+
+
 def _predictor(names: list[str], table: np.ndarray):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label, score, shares, sure = _judged(batch.column(2), batch.column(3), names, table)
+            mixed = [
+                sorted(((names[k], float(row[k])) for k in np.flatnonzero(row)), key=lambda x: -x[1])
+                if good
+                else []
+                for row, good in zip(shares, sure, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(label, pa.string()),
+                    pa.array(score, pa.float64()),
+                    pa.array(mixed, pa.map_(pa.string(), pa.float64())),
+                ],
+                ["doc_id", "held_out", "lang_pred", "score", "shares"],
+            )
+
+    return predict
+
+
+def with_language(rows: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
+    """``rows``, which have a text, with ``_lang`` and ``_score`` after their own columns."""
+    own = rows.columns
+    place = own.index("text")
+
+    def append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label, score, _, _ = _judged(batch.column(place), batch.column(len(own)), names, table)
+            columns = [*batch.columns[: len(own)], pa.array(label, pa.string()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*own, "_lang", "_score"])
+
+    schema = T.StructType(
+        [*rows.schema.fields, T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())]
+    )
+    return rows.select(*own, F.col("text").rlike(r"\p{L}").alias("_letters")).mapInArrow(append, schema)
+
+
+def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = batch.num_rows
             shares = np.zeros((size, max(len(names), 1)), np.float64)

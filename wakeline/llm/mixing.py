@@ -4,12 +4,14 @@ Native: DataFrame functions only. The documents of a source, in a hash order, fo
 stream of words that is cut into blocks of BLOCK words (the last one is shorter). A mix
 is a number of slots, SHARD_SLOTS to an output shard, and each slot holds one block.
 
-* A source gets as many slots as its target needs. A keyed permutation of all slots
-  deals them to the shards, so the counts of sources in a shard are multinomial draws
-  given the totals: no shard is planned by hand, yet each source meets its target.
+* A source gets as many slots as its target needs. The sources of a shard are drawn from
+  all slots without putting back, by a keyed permutation: their counts are multinomial
+  draws given the totals, so no shard is planned by hand, yet each source meets its target.
+* Counts become index ranges: a shard's slots of a source follow those of earlier shards.
 * The j-th slot of a source reads block ``perm(j mod blocks)``, where every pass over
   the source has a permutation of its own. A block is read again only after all others.
-* Blocks are joined to documents by (source, block).
+* Slots are joined to the documents in their block by (source, block), and what a document
+  gives to the mix is summed over that join.
 
 Null sources are one source, sorted last. Null and empty texts have no words and are
 never taken. Repeated rows are documents of their own. Without any words, or rows, all
@@ -33,15 +35,17 @@ BLOCK = 64
 SHARD_SLOTS = 4096
 CHUNK_ROWS = 50_000
 PIECE = 1 << 13
+SHARD_CHUNK = 1 << 10
 
 
 @dataclass
 class Mix:
-    """One row a document, a source, a document's part of a block, and a block read."""
+    """One row a document, a source, a document's part of a block, a draw, and a block read."""
 
     sizes: DataFrame
     sources: DataFrame
     parts: DataFrame
+    counts: DataFrame
     slots: DataFrame
 
 
@@ -140,28 +144,9 @@ def mix(
         .withColumn("all_slots", F.sum("slots").over(Window.partitionBy())),
         "sources",
     )
-    # A source's slots are counted out in pieces, so that no task holds all of a large one.
-    pieces = (
-        sources.filter("slots > 0")
-        .withColumn("_piece", F.explode(F.expr(f"sequence(0L, (slots - 1) DIV {PIECE})")))
-        .repartition(F.col("source"), F.col("_piece"))
-    )
-    drawn = F.explode(
-        F.expr(f"sequence(_piece * {PIECE}L, least(slots, (_piece + 1) * {PIECE}L) - 1)")
-    )
-    dealt = permuted(F.col("before") + F.col("draw"), F.col("all_slots"), F.lit(seed).cast("long"))
-    key = F.xxhash64("source", F.expr("draw DIV blocks"), F.lit(seed))
-    slots = (
-        pieces.withColumn("draw", drawn)
-        .withColumn("_dealt", dealt)
-        .withColumn("block", permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), key))
-        .select(
-            F.expr(f"_dealt DIV {shard_slots}").alias("shard"),
-            (F.col("_dealt") % shard_slots).alias("slot"),
-            "source",
-            "block",
-        )
-    )
+    all_slots = sources.agg(F.max("all_slots")).first()[0] or 0
+    counts = staged(_drawn(sources, all_slots, shard_slots, seed), "draws")
+    slots = _slots(counts, sources, all_slots, seed)
     starts = _starts(sizes, chunk_rows)
     parts = starts.withColumn(
         "block",
@@ -175,7 +160,72 @@ def mix(
             f"least(start + size, (block + 1) * {block}) - greatest(start, block * {block})"
         ).alias("words"),
     )
-    return Mix(sizes, sources, parts, slots)
+    return Mix(sizes, sources, parts, counts, slots)
+
+
+def _tasks(all_slots: int) -> int:
+    """Tasks for work on every slot; a number that is named is not made smaller later."""
+    return max(1, min(-(-all_slots // (4 * PIECE)), 1 << 16))
+
+
+def _drawn(sources: DataFrame, all_slots: int, shard_slots: int, seed: int) -> DataFrame:
+    """Slots of each source in each shard, where there are any: shard, source, n."""
+    # A source's slots are counted out in pieces, so that no task holds all of a large one.
+    pieces = (
+        sources.filter("slots > 0")
+        .withColumn("_piece", F.explode(F.expr(f"sequence(0L, (slots - 1) DIV {PIECE})")))
+        .repartition(_tasks(all_slots), F.col("source"), F.col("_piece"))
+    )
+    draw = F.explode(F.expr(f"sequence(_piece * {PIECE}L, least(slots, (_piece + 1) * {PIECE}L) - 1)"))
+    place = permuted(F.col("before") + F.col("draw"), F.col("all_slots"), F.lit(seed).cast("long"))
+    return (
+        pieces.withColumn("draw", draw)
+        .withColumn("_place", place)
+        .groupBy(F.expr(f"_place DIV {shard_slots}").alias("shard"), "source")
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def _slots(counts: DataFrame, sources: DataFrame, all_slots: int, seed: int) -> DataFrame:
+    """The block that each slot reads: shard, slot, source, block.
+
+    Earlier shards are summed in chunks of SHARD_CHUNK, so no window holds more of them.
+    """
+    chunked = counts.withColumn("_chunk", F.expr(f"shard DIV {SHARD_CHUNK}"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda name, w: F.coalesce(F.sum(name).over(before(w)), F.lit(0))
+    carry = (
+        chunked.groupBy("source", "_chunk")
+        .agg(F.sum("n").alias("_n"))
+        .select(
+            F.col("source").alias("_of"),
+            F.col("_chunk").alias("_at"),
+            so_far("_n", Window.partitionBy("source").orderBy("_chunk")).alias("_carry"),
+        )
+    )
+    placed = chunked.withColumns(
+        {
+            "_within": so_far("n", Window.partitionBy("source", "_chunk").orderBy("shard")),
+            "_first": so_far("n", Window.partitionBy("shard").orderBy(F.col("source").asc_nulls_last())),
+        }
+    )
+    ranges = placed.join(carry, _same("source", "_of") & (F.col("_chunk") == F.col("_at"))).select(
+        "shard", "source", "n", "_first", (F.col("_carry") + F.col("_within")).alias("_index")
+    )
+    blocks = sources.select(F.col("source").alias("_of"), "blocks")
+    key = F.xxhash64("source", F.expr("_j DIV blocks"), F.lit(seed))
+    return (
+        ranges.join(blocks, _same("source", "_of"))
+        .repartition(_tasks(all_slots), "shard", "source")
+        .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+        .withColumn("_j", F.col("_index") + F.col("_k"))
+        .select(
+            "shard",
+            (F.col("_first") + F.col("_k")).alias("slot"),
+            "source",
+            permuted(F.col("_j") % F.col("blocks"), F.col("blocks"), key).alias("block"),
+        )
+    )
 
 
 def contents(plan: Mix) -> DataFrame:
@@ -187,21 +237,16 @@ def contents(plan: Mix) -> DataFrame:
         "first_word",
         "words",
     )
-    return plan.slots.hint("merge").join(parts, _same("source", "_of") & (F.col("block") == F.col("_at"))).drop(
+    # Null-safe on the block as well: a test for null would compute the permutation again.
+    # Sizes behind an explode are guessed too low for Spark to choose this join itself.
+    return plan.slots.hint("merge").join(parts, _same("source", "_of") & _same("block", "_at")).drop(
         "_of", "_at"
     )
 
 
 def _read(plan: Mix) -> DataFrame:
     """Per document of which words are read: _order and taken, their number."""
-    reads = plan.slots.groupBy("source", "block").agg(F.count("*").alias("reads"))
-    reads = reads.select(F.col("source").alias("_of"), F.col("block").alias("_at"), "reads")
-    return (
-        # Sizes behind an explode are guessed too low for Spark to choose this join itself.
-        plan.parts.join(reads.hint("merge"), _same("source", "_of") & (F.col("block") == F.col("_at")))
-        .groupBy("_order")
-        .agg(F.sum(F.col("words") * F.col("reads")).alias("taken"))
-    )
+    return contents(plan).groupBy("_order").agg(F.sum("words").alias("taken"))
 
 
 def copies(plan: Mix, chunk_rows: int = CHUNK_ROWS, seed: int = 11) -> DataFrame:

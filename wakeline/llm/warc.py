@@ -13,7 +13,8 @@ header. An empty table gives no file.
 
 Files are built by whole tasks in a fixed order of records and appear under their final
 names only when complete, so a repeated task replaces its files by equal ones. They go
-to any store that Arrow's file systems reach; payloads are shuffled once.
+to any store that Arrow's file systems reach. Who refers to whom is found on digests alone;
+payloads are shuffled once, to meet that, and only those of LEAST_REVISIT bytes by content.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.sources.staging import staged
+
 LEAST_REVISIT = 1000
 SAMPLE_RECORDS = 2000
 SAMPLE_BYTES = 1 << 13
@@ -46,24 +49,37 @@ _ROW = "page_id long, url string, html binary, sha1 string, size long, refers_to
 _READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def classified(pages: DataFrame) -> DataFrame:
-    """Pages with digest, size and what they refer to; the html of revisits is dropped."""
+def _digested(pages: DataFrame) -> DataFrame:
     html = F.coalesce("html", F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long"), "url", html.alias("html")).select(
+    return pages.select(F.col("page_id").cast("long"), "url", html.alias("html")).select(
         "*",
         F.sha1("html").alias("sha1"),
         F.sha2("html", 256).alias("_same"),
         F.octet_length("html").cast("long").alias("size"),
     )
-    groups = (
-        rows.filter(F.col("size") >= LEAST_REVISIT)
-        .groupBy("_same")
-        .agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies"))
-        .filter("copies > 1 and keeper is not null")
-        .select("_same", "keeper")
+
+
+def payloads(pages: DataFrame) -> DataFrame:
+    """Each payload once, without its content: digests, size, largest page id, copies; written once."""
+    return staged(
+        _digested(pages)
+        .groupBy("_same", "sha1", "size")
+        .agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies")),
+        "payloads",
     )
+
+
+def classified(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """Pages with digest, size and what they refer to; the html of revisits is dropped."""
+    groups = known.filter(
+        (F.col("size") >= LEAST_REVISIT) & (F.col("copies") > 1) & F.col("keeper").isNotNull()
+    ).select(F.col("_same").alias("_key"), "keeper")
+    # Smaller payloads refer to nothing: each is dealt by its own number, not by content.
+    own = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))
+    rows = _digested(pages).withColumn("_own", own)
+    rows = rows.withColumn("_key", F.when(F.col("size") >= LEAST_REVISIT, F.col("_same")).otherwise(F.col("_own")))
     revisit = F.coalesce(~F.col("keeper").eqNullSafe(F.col("page_id")) & F.col("keeper").isNotNull(), F.lit(False))
-    return rows.join(groups, "_same", "left").select(
+    return rows.drop("_same", "_own").join(groups, "_key", "left").select(
         "page_id",
         "url",
         F.when(~revisit, F.col("html")).alias("html"),
@@ -103,17 +119,26 @@ def record(page: dict) -> bytes:
     return "\r\n".join(lines).encode() + 2 * END + body + 2 * END
 
 
-def dictionary(rows: DataFrame) -> bytes:
-    """Train on a bounded sample of the archived records; too few of them give none."""
+def dictionary(pages: DataFrame, known: DataFrame) -> bytes:
+    """Train on a bounded sample of the archived records; too few of them give none.
+
+    The sample is chosen among digests; only the records chosen are read, up to SAMPLE_BYTES.
+    """
+    order = (F.xxhash64("keeper", "sha1"), "keeper", "sha1")
+    chosen = known.orderBy(*order).limit(SAMPLE_RECORDS).select("sha1", "_same", "keeper")
     short = F.substring("html", 1, SAMPLE_BYTES).alias("html")
     sample = (
-        rows.filter("not revisit")
-        .select("page_id", "url", short, "sha1", "size", "refers_to", "revisit")
-        .orderBy(F.xxhash64("page_id", "sha1"))
-        .limit(SAMPLE_RECORDS)
+        _digested(pages)
+        .join(F.broadcast(chosen), ["sha1", "_same"])
+        .filter(F.col("page_id").eqNullSafe(F.col("keeper")))
+        .select("page_id", "url", short, "sha1", "size")
+        .groupBy("page_id", "sha1", "size")
+        .agg(F.min_by(F.struct("url", "html"), F.coalesce("url", F.lit(""))).alias("row"))
+        .select("page_id", "row.*", "sha1", "size")
+        .orderBy(F.xxhash64("page_id", "sha1"), "page_id", "sha1")
         .collect()
     )
-    samples = [record(row.asDict()) for row in sample]
+    samples = [record({**row.asDict(), "refers_to": None, "revisit": False}) for row in sample]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 10)
     if len(samples) < 16 or size < 1024:
         return b""
@@ -166,8 +191,9 @@ def _writer(folder: str, trained: bytes, most: int):
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives below ``folder``; returns the file list."""
     spark = pages.sparkSession
-    rows = classified(pages)
-    trained = dictionary(rows)
+    known = payloads(pages)
+    rows = classified(pages, known)
+    trained = dictionary(pages, known)
     store, path = _target(folder)
     store.create_dir(f"{path}/archives", recursive=True)
     ordered = rows.sortWithinPartitions(F.col("page_id").asc_nulls_first(), "sha1", "url")

@@ -2,12 +2,12 @@
 
 Entries become whole numbers first (floor(1024 * entry) + 100000), so sums are exact. Each
 task keeps the spectrum of its own vectors and takes them in one rank-one update after
-another (``spectrum``), equal vectors of a batch as one. Spectra are merged in groups of
-FAN, again by rank-one updates, until one is left. Its eigenvectors then serve as the
+another (``spectrum``), equal vectors of a batch as one. Spectra are merged a few at
+a time, again by rank-one updates, until one is left. Its eigenvectors then serve as the
 basis of a Rayleigh-Ritz step over all vectors: every task sums the outer products of its
 centred vectors in that basis, and the eigenvectors of the sum turn the basis into the
 components, to double precision. What tasks hand over is one row of the size of a
-covariance, and no step gathers more than FAN of them.
+covariance, and no step gathers more than a few of them.
 
 Vectors that are null or hold null or non-finite entries take no part, nor those that
 differ from the most common length (the longest of equally common ones). Null ids stay;
@@ -24,16 +24,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.llm.folding import folded, per_task, summed
 from wakeline.llm.spectrum import Spectrum
 from wakeline.sources.staging import staged
 
 SCALE, OFFSET = 1024, 100_000
 COMPONENTS = 8
-FAN = 16
 RANK = 1e-10
 # Sums of squares stay below 2^63, and the longs they are made of below 2^62.
 _MOST = 9.0e18
@@ -103,42 +102,9 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     return staged(whole.mapInArrow(_whole, "vec_id long, x array<long>"), "vectors")
 
 
-def _per_task(rows: DataFrame, work: Callable[[Iterator[np.ndarray]], bytes | None], size: int) -> DataFrame:
-    """One row (part, data) from each task that has vectors."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = work(_matrix(batch.column(0), size) for batch in batches if batch.num_rows)
-        if data is not None:
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int64()), pa.array([data], pa.binary())], ["part", "data"]
-            )
-
-    return rows.select("x").mapInArrow(run, "part long, data binary")
-
-
-def _folded(parts: DataFrame, merge: Callable[[list[bytes]], bytes], name: str) -> bytes | None:
-    """Merge the rows of tasks in groups of FAN, level by level, in the order of tasks."""
-    parts = staged(parts, name)
-    most = parts.agg(F.max("part")).first()[0]
-    if most is None:
-        return None
-
-    def group(table: pa.Table) -> pa.Table:
-        table = table.sort_by("part")
-        data = merge(table["data"].to_pylist())
-        return pa.table(
-            {"part": pa.array([table["part"][0].as_py() // FAN]), "data": pa.array([data], pa.binary())}
-        )
-
-    while most > 0:
-        parts = parts.groupBy(F.expr(f"part div {FAN}")).applyInArrow(group, "part long, data binary")
-        most //= FAN
-    return parts.first().data
-
-
-def _summed(kind) -> Callable[[list[bytes]], bytes]:
-    return lambda rows: sum(np.frombuffer(row, kind) for row in rows).tobytes()
+def _from_tasks(rows: DataFrame, work: Callable[[Iterator[np.ndarray]], bytes | None], size: int) -> DataFrame:
+    """One row from each task that has vectors, made from its matrices."""
+    return per_task(rows.select("x"), lambda batches: work(_matrix(batch.column(0), size) for batch in batches))
 
 
 def _sums(rows: DataFrame, size: int) -> tuple[int, np.ndarray]:
@@ -151,7 +117,7 @@ def _sums(rows: DataFrame, size: int) -> tuple[int, np.ndarray]:
             total[1:] += x.sum(0)
         return total.tobytes() if total[0] else None
 
-    total = np.frombuffer(_folded(_per_task(rows, work, size), _summed(np.int64), "sums"), np.int64)
+    total = np.frombuffer(folded(_from_tasks(rows, work, size), summed(np.int64), "sums"), np.int64)
     return int(total[0]), total[1:].copy()
 
 
@@ -173,7 +139,7 @@ def spectrum(rows: DataFrame, n: int, sums: np.ndarray) -> Spectrum:
             first.merge(other)
         return first.packed()
 
-    return Spectrum.unpacked(_folded(_per_task(rows, work, size), merge, "spectra"), size)
+    return Spectrum.unpacked(folded(_from_tasks(rows, work, size), merge, "spectra"), size)
 
 
 def _scatter(rows: DataFrame, size: int, turn: Callable[[np.ndarray], np.ndarray], width: int) -> np.ndarray:
@@ -189,7 +155,7 @@ def _scatter(rows: DataFrame, size: int, turn: Callable[[np.ndarray], np.ndarray
             seen = True
         return total.tobytes() if seen else None
 
-    data = _folded(_per_task(rows, work, size), _summed(np.float64), "scatter")
+    data = folded(_from_tasks(rows, work, size), summed(np.float64), "scatter")
     return np.frombuffer(data, np.float64).reshape(width + 1, width)
 
 
