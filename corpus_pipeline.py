@@ -21,17 +21,16 @@ LEAST_SHARE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: neither ``und`` nor without a main one.
+    """Rows with a language: neither ``und`` nor without a main one.
 
-    The verdict depends on the text alone, so documents that share an id are judged
-    together and go only if all of them are rejected.
+    A row is judged by its text alone, whatever ids rows share and however often they
+    repeat. Null and empty texts, and those without a letter, have no language and go. The
+    languages are learned from rows with a label; without any, every row goes.
     """
-    found = langid.identify(docs.select("doc_id", "text", "lang"))
-    bad = found.groupBy("doc_id").agg(
-        F.max((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).alias("good")
-    )
-    gone = bad.filter("not good").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti").select(*COLUMNS)
+    rows = docs.select(*COLUMNS)
+    names, table_of = langid.train(rows.filter(~langid.held_out(F.col("doc_id"))))
+    found = langid.with_language(rows, names, table_of)
+    return found.filter((F.col("_lang") != "und") & (F.col("_score") >= LEAST_SHARE)).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +48,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Rows without a passage of the benchmark.
+
+    A row is judged by its text alone, whatever ids rows share and however often they
+    repeat. Null and empty texts stay.
+    """
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
-    gone = decontam.leaks(docs, items).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti").select(*COLUMNS)
+    return decontam.clean(docs.select(*COLUMNS), items)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +75,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The corpus as coded token ids, read back: doc_id, start, n_tokens, ids_crc32."""
+    """The corpus as coded token ids, read back: doc_id, start, n_tokens, ids_crc32.
+
+    Null texts are empty; null ids come first, and repeated rows are documents of their own.
+    """
     texts = docs.select("doc_id", "text")
     return tokens.encode_documents(texts, tokenizer_path(), END_ID, folder(spark, "tokens"))
 
