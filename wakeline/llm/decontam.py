@@ -35,7 +35,8 @@ from wakeline.sources.staging import staged
 
 LIGHT = ("1111", "11011")
 MIDDLE = ("11111", "110111", "1011011")
-HEAVY = ("1101101011", "1011011101", "1110010111", "1101110011")
+MASKS = ("1101101011", "1011011101", "1110010111", "1101110011")
+SPAN = len(MASKS[0])
 LEAST_ITEM, TOLERANT, MEDIUM, LONG = 5, 8, 12, 32
 SHARE = 0.8
 LEAST_WORDS = 13
@@ -44,7 +45,7 @@ LEAST_SCORE = 8
 # Items found in one text are verified in so many parts, each a row.
 PARTS = 8
 
-_MASKS = (*HEAVY, *MIDDLE, *LIGHT, *("1" * n for n in range(1, TOLERANT)))
+_MASKS = (*MASKS, *MIDDLE, *LIGHT, *("1" * n for n in range(1, TOLERANT)))
 _PLACES = np.random.default_rng(7).integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
 _FOUND = "item_id long, doc_first long, doc_end long, item_first long, item_end long, equal_words long, score long"
 SCHEMA = f"doc_id long, {_FOUND}"
@@ -53,7 +54,7 @@ SCHEMA = f"doc_id long, {_FOUND}"
 def masks_of(size: int) -> tuple[str, ...]:
     """The masks for an item of ``size`` words; an item of few words is a seed as a whole."""
     if size >= LONG:
-        return HEAVY
+        return MASKS
     if size >= MEDIUM:
         return MIDDLE
     if size >= TOLERANT:

@@ -228,42 +228,6 @@ def with_language(rows: DataFrame, names: list[str], table: np.ndarray) -> DataF
     return rows.select(*own, F.col("text").rlike(r"\p{L}").alias("_letters")).mapInArrow(append, schema)
 
 
-def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = batch.num_rows
-            shares = np.zeros((size, max(len(names), 1)), np.float64)
-            for first, rows, buckets in _grams(batch.column(2)) if names else ():
-                if len(rows):
-                    have, found = mixture(table, rows, buckets)
-                    shares[first + have] = found
-            letters = np.array(batch.column(3).fill_null(False))
-            # A letter without an n-gram is judged like any other text: all shares equal.
-            blank = letters & (shares.sum(1) == 0)
-            shares[blank] = 1.0 / max(len(names), 1)
-            top = shares.argmax(1)
-            sure = letters & bool(names)
-            score = np.where(sure, np.clip(shares[np.arange(size), top], 0, 1), 0.0)
-            label = [names[k] if good else "und" for k, good in zip(top, sure, strict=True)]
-            mixed = [
-                sorted(((names[k], float(row[k])) for k in np.flatnonzero(row)), key=lambda x: -x[1])
-                if good
-                else []
-                for row, good in zip(shares, sure, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(label, pa.string()),
-                    pa.array(score, pa.float64()),
-                    pa.array(mixed, pa.map_(pa.string(), pa.float64())),
-                ],
-                ["doc_id", "held_out", "lang_pred", "score", "shares"],
-            )
-
-    return predict
-
-
 def predict(documents: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
     """Predict from text alone: doc_id, held_out, lang_pred, score, shares (label to share)."""
     return documents.select(
