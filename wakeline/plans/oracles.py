@@ -198,6 +198,11 @@ WHERE reason IS NOT NULL""",
     ),
     "rejected_lookup": _over_replay(
         f"""SELECT event_id, flight_id, event_time, proc_time AS ingest_time, reason FROM marked
+WHERE reason IS NOT NULL AND (flight_id = '{FLIGHT}'
+  OR {' OR '.join(f"event_id LIKE '{prefix}%'" for prefix in PREFIXES)})"""
+    ),
+    "stored_lookup": _over_replay(
+        f"""SELECT event_id, flight_id, event_time, proc_time AS ingest_time, reason FROM marked
 WHERE reason IS NOT NULL AND (flight_id = '{FLIGHT}'
   OR {' OR '.join(f"event_id LIKE '{prefix}%'" for prefix in PREFIXES)})"""
     ),

@@ -67,8 +67,8 @@ class Replay:
 
     @cached_property
     def judged(self) -> DataFrame:
-        """Position, id, arrival, watermark and own defects of every row, written once."""
-        narrow = (self.order, "event_id", "proc_time", "watermark", "late", "reject_reason")
+        """Position, id, arrival, watermark and flags of every row, written once."""
+        narrow = (self.order, "event_id", "proc_time", "watermark", "late", "overheat", "reject_reason")
         return staged(self.tagged.select(*narrow), "judged")
 
     @cached_property
@@ -82,7 +82,7 @@ class Replay:
 
     def _whole(self, decided: DataFrame) -> DataFrame:
         told = decided.drop("event_id", "proc_time")
-        return self.feed.join(told, self.order).withColumn("overheat", R.overheat(self.rules))
+        return self.feed.join(told, self.order)
 
     @cached_property
     def accepted(self) -> DataFrame:

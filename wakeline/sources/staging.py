@@ -52,6 +52,15 @@ def _own_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/wakeline/{spark.sparkContext.applicationId}"
 
 
+def own_path(spark: SparkSession, name: str) -> str:
+    """A new folder below this application's own, dropped with what it staged."""
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -60,10 +69,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     reads prune its columns.
     """
     spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    owned = _OWNED.get()
-    if owned is not None:
-        owned.append(path)
+    path = own_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -66,7 +66,6 @@ ACCEPTED = T.StructType(
     ]
 )
 # Times of the job itself are epoch milliseconds, which no session zone touches.
-BEGUN = "at_ms BIGINT"
 # ``sources_of`` and ``minutes_of`` name the batches whose state is the current one: a batch
 # without messages leaves it where it is. ``idle`` lists the partitions released and not
 # heard of since.
@@ -156,10 +155,14 @@ class QualityJob:
 
     def _begin(self, batch_id: int) -> int:
         """The batch's time; a repeated batch keeps the time of its first try."""
-        if not storage.complete(self.spark, self._path("begun", batch_id)):
-            row = self._one_row().select(F.lit(self.clock()).cast("long").alias("at_ms"))
-            self._write(row, "begun", batch_id)
-        return self._read("begun", BEGUN, batch_id).first()["at_ms"]
+        path = self._path("begun", batch_id)
+        storage.write_line(self.spark, path, f"{self.clock()}.", overwrite=False)
+        line = storage.read_line(self.spark, path) or ""
+        if not line.endswith("."):
+            # A line that was not finished was never used.
+            line = f"{self.clock()}."
+            storage.write_line(self.spark, path, line, overwrite=True)
+        return int(line[:-1])
 
     def commit_of(self, batch_id: int):
         if batch_id < 0 or not storage.complete(self.spark, self._path("commits", batch_id)):

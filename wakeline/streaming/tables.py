@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,6 @@ from wakeline.sources import storage
 from wakeline.streaming.job import COMMIT
 
 TABLES = {"detail": DETAIL, "rejected": REJECTED, "minutes": MINUTE}
-GENERATION = "up_to BIGINT, made_ms BIGINT"
 
 
 def _batch_schema(table: str) -> T.StructType:
@@ -33,26 +34,28 @@ def read_commits(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).where(F.col("batch_id") <= last_commit(spark, root))
 
 
-def _generations(spark: SparkSession, root: str, table: str) -> list[int]:
-    """Finished generations of merged files, oldest first."""
-    pointers = f"{root}/merged/{table}/pointers"
-    return [
-        number
-        for number in storage.numbered(spark, pointers, "generation")
-        if storage.complete(spark, f"{pointers}/generation={number}")
-    ]
+def _generations(spark: SparkSession, root: str, table: str) -> dict[int, dict]:
+    """Finished generations of merged files, oldest first: up to which batch, made when.
 
-
-def _generation(spark: SparkSession, root: str, table: str, number: int):
-    path = f"{root}/merged/{table}/pointers/generation={number}"
-    return spark.read.schema(GENERATION).parquet(path).first()
+    Each is told by a line of its own, which is written last; no Spark job reads it.
+    """
+    pointers = f"{root}/merged/{table}/pointers"
+    found = {}
+    for number in storage.numbered(spark, pointers, "generation"):
+        line = storage.read_line(spark, f"{pointers}/generation={number}")
+        if line and line.endswith("}"):
+            found[number] = json.loads(line)
+    return found
 
 
-def _merged_to(spark: SparkSession, root: str, table: str, older_than_ms: int | None = None) -> int:
+def _merged_to(generations: dict[int, dict], older_than_ms: int | None = None) -> int:
     """Newest batch the generations hold, of those made before ``older_than_ms``."""
-    found = [_generation(spark, root, table, g) for g in _generations(spark, root, table)]
     return max(
-        (g["up_to"] for g in found if older_than_ms is None or g["made_ms"] < older_than_ms),
+        (
+            g["up_to"]
+            for g in generations.values()
+            if older_than_ms is None or g["made_ms"] < older_than_ms
+        ),
         default=-1,
     )
 
@@ -74,10 +77,10 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     merged = (
         spark.read.schema(TABLES[table])
         .parquet(f"{root}/merged/{table}/rows")
-        .where(F.col("generation") <= generations[-1])
+        .where(F.col("generation") <= max(generations))
         .select(*TABLES[table].fieldNames())
     )
-    merged_to = _merged_to(spark, root, table)
+    merged_to = _merged_to(generations)
     if last <= merged_to:
         return merged
     return merged.unionByName(_batches(spark, root, table, merged_to, last))
@@ -93,11 +96,11 @@ def merge_files(spark: SparkSession, root: str, table: str, now_ms: int) -> int
     name cannot tell an empty one from NULL. Returns the new generation's number,
     None when nothing new was committed.
     """
-    last, merged_to = last_commit(spark, root), _merged_to(spark, root, table)
+    generations = _generations(spark, root, table)
+    last, merged_to = last_commit(spark, root), _merged_to(generations)
     if last <= merged_to:
         return None
-    generations = _generations(spark, root, table)
-    number = generations[-1] + 1 if generations else 0
+    number = max(generations, default=-1) + 1
     base = f"{root}/merged/{table}"
     (
         _batches(spark, root, table, merged_to, last)
@@ -108,10 +111,8 @@ def merge_files(spark: SparkSession, root: str, table: str, now_ms: int) -> int
         .option("compression", "zstd")
         .parquet(f"{base}/rows/generation={number}")
     )
-    pointer = spark.range(0, 1, 1, 1).select(
-        F.lit(last).cast("long").alias("up_to"), F.lit(now_ms).cast("long").alias("made_ms")
-    )
-    pointer.write.mode("overwrite").parquet(f"{base}/pointers/generation={number}")
+    pointer = json.dumps({"up_to": last, "made_ms": now_ms})
+    storage.write_line(spark, f"{base}/pointers/generation={number}", pointer, overwrite=True)
     return number
 
 
@@ -120,7 +121,7 @@ def expire(spark: SparkSession, root: str, table: str, older_than_ms: int) -> in
 
     Returns the number of folders deleted.
     """
-    merged_to = _merged_to(spark, root, table, older_than_ms)
+    merged_to = _merged_to(_generations(spark, root, table), older_than_ms)
     replaced = [
         batch_id
         for batch_id in storage.numbered(spark, f"{root}/{table}", "batch_id")
