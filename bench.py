@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.plans.catalog import QUERIES
+from wakeline.plans.replay import Replay
+from wakeline.sources.arrival import replay_feed
 from wakeline.sources.feed import feed, wire_feed, with_offsets
-from wakeline.sources.readers import recorded_stream
+from wakeline.sources.readers import recorded_stream, recorded_table
 from wakeline.streaming.job import QualityJob
 from wakeline.streaming.tables import read_table
 
@@ -83,6 +85,24 @@ def record_topic(spark: SparkSession, folder: str) -> int:
     return spark.read.text(folder).count()
 
 
+def same_ids(spark: SparkSession, topic: str, root: str) -> bool:
+    """Whether the stream accepted what the replay of the same messages accepts.
+
+    Twelve partitions hold back each other's watermark, so only rows that lateness does
+    not touch are compared: ids neither table calls late.
+    """
+    replay = Replay(replay_feed(recorded_table(spark, topic)))
+    rejected = replay.rejected.where(F.col("reason").contains("too_late")).select("event_id")
+    wanted = replay.detail.where(~F.col("late")).select("event_id").distinct()
+    late = read_table(spark, root, "rejected").where(F.col("reason").contains("too_late")).select("event_id")
+    found = read_table(spark, root, "detail").select("event_id").distinct()
+    lost = wanted.join(found, "event_id", "left_anti").join(late, "event_id", "left_anti")
+    extra = found.join(replay.detail.select("event_id"), "event_id", "left_anti").join(
+        rejected, "event_id", "left_anti"
+    )
+    return lost.isEmpty() and extra.isEmpty()
+
+
 def stream_drain(spark: SparkSession, topic: str, root: str) -> int:
     job = QualityJob(spark, root)
     query = job.start(recorded_stream(spark, topic), name="bench", available_now=True)
@@ -116,6 +136,7 @@ def main() -> None:
                 "cpus": int(CPUS),
                 "stream_messages": sent,
                 "stream_detail_rows": kept,
+                "stream_agrees_with_replay": same_ids(spark, f"{work}/topic", f"{work}/job"),
                 "stream_rows_per_s": round(sent / times["stream_drain"], 1),
             }
         )
