@@ -40,7 +40,7 @@ from wakeline.llm.words import range_hashes, row_chunks
 from wakeline.sources.staging import staged
 
 FIT_ROWS = 50_000
-TERMS = 1 << 16
+TERMS = 1 << 14
 FOLDS = 4
 PREFIXES = (4, 5, 6, 7, 8)
 # A term of the lexicon: in this many toxic documents, and in this share of them.
@@ -187,6 +187,16 @@ def _second_persons() -> np.ndarray:
     return np.unique(np.concatenate(known))
 
 
+def _distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of two columns, and how often each occurs."""
+    order = np.lexsort((two, one))
+    one, two = one[order], two[order]
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    first = np.flatnonzero(new)
+    return one[first], two[first], np.diff(np.append(first, len(one)))
+
+
 def _term_counts(wanted: np.ndarray | None):
     """Documents that hold each term, by label and part; all terms, or the wanted ones."""
 
@@ -201,12 +211,10 @@ def _term_counts(wanted: np.ndarray | None):
                 if wanted is not None:
                     at = np.minimum(np.searchsorted(wanted, flat[used]), max(len(wanted) - 1, 0))
                     used = used[wanted[at] == flat[used]] if len(wanted) else used[:0]
-                pairs = np.unique(np.stack([flat[used], row[used].astype(np.uint64)], 1), axis=0)
-                group = kind[found.first + pairs[:, 1].astype(np.int64)]
-                keys, n = np.unique(np.stack([pairs[:, 0], group.astype(np.uint64)], 1), axis=0, return_counts=True)
+                held, rows_of, _ = _distinct(flat[used], row[used])
+                held, group, n = _distinct(held, kind[found.first + rows_of])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[:, 0].view(np.int64)), pa.array(keys[:, 1].astype(np.int64)), pa.array(n)],
-                    ["term", "kind", "n"],
+                    [pa.array(held.view(np.int64)), pa.array(group), pa.array(n)], ["term", "kind", "n"]
                 )
 
     return count
