@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.folding import Bitmap, bitmap
+from wakeline.llm.memory import releasing
 from wakeline.llm.words import mix, words
 from wakeline.sources.staging import staged
 
@@ -110,6 +111,7 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _hits(known: Bitmap, masks: list[str], whole: list[int]):
     """Seeds of texts that the bitmap of items' seeds holds, of each text in a batch once."""
 
+    @releasing
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.array(batch.column(0))
@@ -166,6 +168,7 @@ def verified(text: np.ndarray, own: np.ndarray, shift: int) -> tuple | None:
 _STRETCH = "text_key long, " + _FOUND
 
 
+@releasing
 def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each text and item the best overlap."""
     names = [part.split()[0] for part in _STRETCH.split(", ")]
@@ -193,6 +196,7 @@ def _text_key() -> Column:
 def _in_bitmap(known: Bitmap, inside: bool):
     """Rows whose first column, a hash, the bitmap holds, or does not hold."""
 
+    @releasing
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = known.holds(_spread(np.array(batch.column(0))))

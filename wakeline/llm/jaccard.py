@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.components import components
+from wakeline.llm.memory import releasing
 from wakeline.llm.words import mix, shingles, words
 from wakeline.sources.staging import staged
 
@@ -208,6 +209,7 @@ def _range_bits(size: int) -> int:
 
 
 def _text_dealer(bits: int):
+    @releasing
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, at = _Block(bits), TaskContext.get().partitionId() << 24
         for batch in batches:
@@ -263,6 +265,7 @@ def _parity(grams: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(group, minlength=64 * PARITY_WORDS) & 1).view(np.int64)
 
 
+@releasing
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets cut at fixed places of the global order."""
     at = TaskContext.get().partitionId() << 33
@@ -322,6 +325,7 @@ def segments(documents: DataFrame, sizes: DataFrame) -> DataFrame:
     return staged(cut.join(once.select("cid"), "cid", "left_semi"), "segments")
 
 
+@releasing
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Overlap in one fragment, unless its differences exceed what a similar pair may have."""
     for batch in batches:
@@ -391,6 +395,7 @@ def stars(cut: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 
 def _class_dealer(bits: int):
+    @releasing
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, at = _Block(bits), TaskContext.get().partitionId() << 24
         for batch in batches:

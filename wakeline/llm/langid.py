@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wakeline.llm.memory import releasing
 from wakeline.llm.words import row_chunks
 
 GRAM = 3
@@ -216,6 +217,7 @@ def with_language(rows: DataFrame, names: list[str], table: np.ndarray) -> DataF
     own = rows.columns
     place = own.index("text")
 
+    @releasing
     def append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label, score, _, _ = _judged(batch.column(place), batch.column(len(own)), names, table)

@@ -33,7 +33,7 @@ from wakeline.sources.staging import staged
 
 BLOCK_IDS = 1 << 16
 CACHED = 700_000
-_open: dict[str, _Pieces] = {}
+_open: dict[tuple[str, int], _Pieces] = {}
 # Punctuation that may close a word; an apostrophe may belong to what follows it.
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 # Fixed: byte-level vocabularies write a printable Latin-1 byte as itself, the others
@@ -51,9 +51,10 @@ class _Pieces(dict):
     False then) get every piece as it is.
     """
 
-    def __init__(self, path: str, wide: bool):
+    def __init__(self, path: str, wide: bool, cached: int):
         from tokenizers import Tokenizer
 
+        self.cached = cached
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.kind, self.code = ("<u4", "I") if wide else ("<u2", "H")
@@ -99,20 +100,20 @@ class _Pieces(dict):
     def trimmed(self) -> None:
         """Forget what exceeds the limit; asked for after every few texts."""
         for known in (self, self.stems, self.marks):
-            if len(known) > CACHED:
+            if len(known) > self.cached:
                 known.clear()
 
 
-def _pieces(path: str, wide: bool) -> _Pieces:
+def _pieces(path: str, wide: bool, cached: int) -> _Pieces:
     """One cache for each tokenizer, kept while the worker lives."""
-    if path not in _open:
-        _open[path] = _Pieces(path, wide)
-    return _open[path]
+    if (path, cached) not in _open:
+        _open[path, cached] = _Pieces(path, wide, cached)
+    return _open[path, cached]
 
 
-def _encoder(path: str, wide: bool, end_id: int):
+def _encoder(path: str, wide: bool, end_id: int, cached: int):
     def encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(path, wide)
+        pieces = _pieces(path, wide, cached)
         end = np.array([end_id], pieces.kind).tobytes()
         width = len(end)
         get = pieces.__getitem__
@@ -140,13 +141,13 @@ class Ids:
     kind: str
 
 
-def tokenize(documents: DataFrame, path: str, end_id: int) -> Ids:
+def tokenize(documents: DataFrame, path: str, end_id: int, cached: int = CACHED) -> Ids:
     """Encode every whole text; written once, as counting and coding both read the ids."""
     from tokenizers import Tokenizer
 
     wide = max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) > 1 << 16
     rows = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _encoder(path, wide, end_id), "doc_id long, n long, ids binary"
+        _encoder(path, wide, end_id, cached), "doc_id long, n long, ids binary"
     )
     return Ids(staged(rows, "ids"), "<u4" if wide else "<u2")
 
@@ -317,8 +318,10 @@ def read_blocks(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     return read if with_ids else read.drop("ids")
 
 
-def encode_documents(documents: DataFrame, tokenizer: str, end_id: int, path: str) -> DataFrame:
-    """Encode, write to ``path``, and read back."""
-    ids = tokenize(documents, tokenizer, end_id)
+def encode_documents(
+    documents: DataFrame, tokenizer: str, end_id: int, path: str, cached: int = CACHED
+) -> DataFrame:
+    """Encode, write to ``path``, and read back; workers remember about ``cached`` pieces."""
+    ids = tokenize(documents, tokenizer, end_id, cached)
     write_blocks(ids, count_ids(ids), path)
     return read_blocks(documents.sparkSession, path)
