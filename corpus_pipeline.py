@@ -18,6 +18,8 @@ from wakeline.sources.staging import staged
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A document is rejected if no language has this share of it.
 LEAST_SHARE = 0.5
+# Pieces that a worker remembers: fewer than by themselves, after four other stages.
+PIECES = 150_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,7 +82,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null texts are empty; null ids come first, and repeated rows are documents of their own.
     """
     texts = docs.select("doc_id", "text")
-    return tokens.encode_documents(texts, tokenizer_path(), END_ID, folder(spark, "tokens"))
+    to = folder(spark, "tokens")
+    return tokens.encode_documents(texts, tokenizer_path(), END_ID, to, cached=PIECES)
 
 
 STAGES = [
